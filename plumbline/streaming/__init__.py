@@ -1,0 +1 @@
+"""Every check is a one-shot batch query; there are no streaming operators."""
