@@ -52,6 +52,7 @@ _SPELLING = [
     (r"^(.{13}):?(\d\d)", "$1:$2"),
     (r"^(.{16}):?(\d\d)", "$1:$2"),
     (r"^(.{13})([+-]|$)", "$1:00$2"),
+    (r"^(.{16})([+-]|$)", "$1:00$2"),
     (r"^(.{14,}[+-]\d\d)$", "$1:00"),
     (r"^(.{14,}[+-]\d\d)(\d\d)$", "$1:$2"),
 ]

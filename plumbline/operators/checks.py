@@ -101,6 +101,17 @@ def table_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> list[D
     return frames + [key_measures(df, n, c) for n, c in checks if c.check_type == UNIQUENESS]
 
 
+def gather(measures: Sequence[DataFrame]) -> DataFrame:
+    """Measures of many frames as one; a single row per check.
+
+    The exchange keeps Catalyst from pushing the labels into every branch of the union, where
+    each copy would be optimized and compiled by itself.
+    """
+    if len(measures) == 1:
+        return measures[0]
+    return reduce(DataFrame.unionByName, measures).repartition(1)
+
+
 def label_measures(measures: DataFrame, checks: Sequence[Check], clock: Clock) -> DataFrame:
     """Result rows of measure rows; ``check_number`` is the index into ``checks``."""
     check = F.get(literal_rows([asdict(c) for c in checks], _CHECK_SCHEMA), F.col("check_number"))
@@ -137,8 +148,7 @@ def _check_columns(df: DataFrame, kind: str, columns: Sequence[str], clock: Cloc
         Check(i, 0, "", table_name, name, kind, name, df.schema[name].dataType.simpleString())
         for i, name in enumerate(columns)
     ]
-    measures = reduce(DataFrame.unionByName, table_measures(df, list(enumerate(checks))))
-    return label_measures(measures, checks, clock)
+    return label_measures(gather(table_measures(df, list(enumerate(checks)))), checks, clock)
 
 
 def completeness(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:

@@ -18,7 +18,7 @@ from plumbline.functions.ages import Clock
 from plumbline.functions.literals import local_rows
 from plumbline.functions.names import TEMPORAL_TYPES
 from plumbline.functions.outcomes import BAD_NAME, ERROR, ERROR_TEXT_LENGTH, FAILED, NOT_TEMPORAL, SQL_ERROR, WARNING
-from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, label_measures, table_measures
+from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, gather, label_measures, table_measures
 from plumbline.sources.configs import unpivot_checks
 from plumbline.sources.results_log import append_log, new_run_id, stamp_results
 from plumbline.sources.tables import Tables
@@ -115,7 +115,7 @@ class QualityRun:
             numbered = list(enumerate(self.by_table[key], start=len(checks)))
             measures += table_measures(self.frames[key], numbered)
             checks += self.by_table[key]
-        return label_measures(reduce(DataFrame.unionByName, measures), checks, self.clock)
+        return label_measures(gather(measures), checks, self.clock)
 
     def results(self) -> DataFrame:
         """All results as one lazy DataFrame; meant for tens of tables."""

@@ -1,0 +1,254 @@
+"""Catalog, check suggestion and description rows on small fixtures."""
+
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from plumbline.functions.literals import local_rows
+from plumbline.operators.coverage import catalog_objects, count_items, coverage, undocumented, with_descriptions, worklist
+from plumbline.operators.merge import merge_descriptions, publishable
+from plumbline.operators.suggest import (
+    candidate_evidence,
+    exclude_tables,
+    suggest_checks,
+    suggestions_from_evidence,
+)
+from plumbline.plans.config import generate_checks
+from plumbline.plans.documentation import refresh_documentation
+from plumbline.sources.catalog import CATALOG_SCHEMA, catalog_of, session_tables
+from plumbline.sources.configs import config_from_entries
+from plumbline.sources.descriptions import (
+    COLUMNS_PER_ENTRY,
+    document_entries,
+    flatten_entries,
+    latest_descriptions,
+    nest_entries,
+    read_document,
+    read_entries,
+    read_yaml_document,
+    write_entries,
+)
+
+FLAT = "schema string, table string, column string, ordinal long, description string, data_type string"
+
+
+def catalog(spark, **tables):
+    rows = [
+        dict(schema="s", table=t, table_pos=i, ordinal=o, column=c, data_type="string")
+        for i, (t, columns) in enumerate(tables.items())
+        for o, c in enumerate(columns.split(), start=1)
+    ]
+    return local_rows(spark, rows, CATALOG_SCHEMA)
+
+
+def flat(spark, *rows):
+    return spark.createDataFrame(rows, FLAT)
+
+
+def entries(df):
+    return {r["table"]: (r["freshness_col"], r["completeness_col"]) for r in df.collect()}
+
+
+def test_catalog_lists_struct_fields_but_not_array_elements(spark):
+    df = spark.createDataFrame(
+        [], "attribution struct<first: array<struct<source: string>>, by: struct<channel: string>>, id bigint"
+    )
+    rows = catalog_of(spark, {("s", "orders"): df}).orderBy("ordinal").collect()
+    assert [(r["ordinal"], r["column"]) for r in rows] == [
+        (1, "attribution"), (2, "attribution.first"), (3, "attribution.by"), (4, "attribution.by.channel"), (5, "id"),
+    ]
+    assert [r["data_type"] for r in rows[1:]] == ["array<struct<source:string>>", "struct<channel:string>", "string", "bigint"]
+
+
+def test_catalog_of_session_tables(spark):
+    spark.sql("CREATE DATABASE IF NOT EXISTS docs")
+    spark.range(1).write.mode("overwrite").saveAsTable("docs.ids")
+    rows = catalog_of(spark, session_tables(spark, "docs")).collect()
+    assert [(r["schema"], r["table"], r["column"]) for r in rows] == [("docs", "ids", "id")]
+    spark.sql("DROP DATABASE docs CASCADE")
+
+
+def test_names_suggest_the_first_match_in_table_order(spark):
+    found = catalog(
+        spark, a="paid user_id last_update updated_at created_at", b="name size", c="Event_Date UUID", d="the_timestamp"
+    )
+    assert entries(suggest_checks(found)) == {
+        "s.a": ("updated_at", "paid"),
+        "s.b": (None, None),
+        "s.c": ("Event_Date", "UUID"),
+        "s.d": ("the_timestamp", None),
+    }
+
+
+def test_suggestions_count_only_for_real_columns(spark):
+    found = catalog(spark, a="id loaded_ts other", b="id loaded_ts", c="id")
+    suggestions = spark.createDataFrame(
+        [("s", "a", "other", "nothing"), ("s", "b", None, "loaded_ts"), ("x", "c", "id", "id"), ("s", "c", "ID", None)],
+        "schema string, table string, freshness_col string, completeness_col string",
+    )
+    assert entries(suggest_checks(found, suggestions)) == {
+        "s.a": ("other", "id"), "s.b": ("loaded_ts", "loaded_ts"), "s.c": (None, "id"),
+    }
+
+
+def test_excluded_tables(spark):
+    found = catalog(spark, orders="id", orders_staging="id", items="id")
+    kept = exclude_tables(found, ["_STAGING", " item", ""])
+    assert {r["table"] for r in kept.collect()} == {"orders"}
+
+
+def test_evidence_prefers_clean_keys_and_real_times(spark):
+    table = spark.createDataFrame(
+        [(1, None, 1, "a", "2024-01-01", None), (1, 2, 2, "b", None, None)],
+        "paid int, half_id int, user_id int, pk_name string, created string, updated_at timestamp",
+    ).withColumn("load_ts", F.lit("2024-01-01").cast("timestamp"))
+    tables = {("s", "t"): table, ("s", "none"): spark.range(2).toDF("value"), ("s", "empty"): spark.range(0)}
+    evidence = candidate_evidence(catalog_of(spark, tables), tables)
+    rows = {(r["table"], r["column"], r["kind"]): (r["n_rows"], r["nulls"], r["surplus"], r["usable"]) for r in evidence.collect()}
+    assert rows == {
+        ("t", "paid", "completeness"): (2, 0, 1, False),
+        ("t", "half_id", "completeness"): (2, 1, 0, False),
+        ("t", "user_id", "completeness"): (2, 0, 0, True),
+        ("t", "pk_name", "completeness"): (2, 0, 0, True),
+        ("t", "created", "freshness"): (2, 1, None, False),
+        ("t", "updated_at", "freshness"): (2, 2, None, False),
+        ("t", "load_ts", "freshness"): (2, 0, None, True),
+        ("empty", "id", "completeness"): (0, 0, 0, False),
+    }
+    assert entries(suggest_checks(catalog_of(spark, tables), suggestions_from_evidence(evidence))) == {
+        "s.t": ("load_ts", "user_id"), "s.none": (None, None), "s.empty": (None, "id"),
+    }
+
+
+def test_generated_checks_follow_existing_ones(spark):
+    existing = config_from_entries(spark, [{"table": "s.a", "uniqueness_col": "id"}])
+    tables = {("s", "a"): spark.range(2), ("s", "b_tmp"): spark.range(2)}
+    rows = generate_checks(spark, tables, exclude=["tmp"], existing=existing).orderBy("pos").collect()
+    assert [(r["pos"], r["table"], r["completeness_col"], r["uniqueness_col"]) for r in rows] == [
+        (0, "s.a", None, "id"), (1, "s.a", "id", None),
+    ]
+
+
+def test_no_candidates_at_all(spark):
+    tables = {("s", "t"): spark.range(2).toDF("value")}
+    assert candidate_evidence(catalog_of(spark, tables), tables).collect() == []
+    assert entries(generate_checks(spark, tables)) == {"s.t": (None, None)}
+
+
+DOCUMENT = {
+    "version": 2,
+    "sources": [
+        {"name": "shop", "schema": "other", "tables": [
+            {"name": "shop.orders", "description": "Orders.", "columns": [
+                {"name": "id", "description": "Key.", "data_type": "INT"},
+                {"name": "price.net", "description": None, "data_type": "FLOAT"}]},
+            {"name": "empty", "description": None}]},
+        {"schema": "web", "tables": [{"name": "hits", "columns": [{"name": "url", "description": "Link."}]}]},
+        {"tables": [{"name": "loose", "description": "Anywhere."}]},
+        {"name": "shop", "tables": [{"name": "orders", "description": "Orders, again.", "columns": []}]},
+    ],
+}
+FLATTENED = [
+    ("shop", "orders", None, 0, "Orders.", None),
+    ("shop", "orders", "id", 1, "Key.", "INT"),
+    ("shop", "orders", "price.net", 2, None, "FLOAT"),
+    ("shop", "empty", None, 0, None, None),
+    ("web", "hits", None, 0, None, None),
+    ("web", "hits", "url", 1, "Link.", None),
+    ("public", "loose", None, 0, "Anywhere.", None),
+    ("shop", "orders", None, 0, "Orders, again.", None),
+]
+
+
+def test_document_flattens_in_order(spark, tmp_path):
+    (tmp_path / "schema.json").write_text(json.dumps(DOCUMENT, indent=1))
+    document = read_document(spark, str(tmp_path / "schema.json"))
+    rows = flatten_entries(document_entries(document)).select("schema", "table", "column", "ordinal", "description", "data_type")
+    assert [tuple(r) for r in rows.collect()] == FLATTENED
+    assert tuple(count_items(document_entries(document)).first()) == (5, 3, 8)
+
+
+def test_yaml_document(spark, tmp_path):
+    yaml = pytest.importorskip("yaml")
+    (tmp_path / "schema.yml").write_text(yaml.dump(DOCUMENT))
+    rows = flatten_entries(document_entries(read_yaml_document(spark, str(tmp_path / "schema.yml"))))
+    assert rows.count() == len(FLATTENED)
+
+
+def test_last_entry_of_a_table_counts(spark, tmp_path):
+    (tmp_path / "schema.json").write_text(json.dumps(DOCUMENT))
+    rows = flatten_entries(document_entries(read_document(spark, str(tmp_path / "schema.json"))))
+    latest = {(r["schema"], r["table"], r["column"]): r["description"] for r in latest_descriptions(rows).collect()}
+    assert latest[("shop", "orders", None)] == "Orders, again."
+    assert latest[("shop", "orders", "id")] == "Key."
+    assert len(latest) == 7
+
+
+def test_wide_tables_nest_into_parts_and_back(spark, tmp_path):
+    n = 2 * COLUMNS_PER_ENTRY + 3
+    wide = spark.range(1, n + 1).select(
+        F.lit("s").alias("schema"), F.lit("wide").alias("table"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("column"), F.col("id").alias("ordinal"),
+        F.lit("text").alias("description"), F.lit("int").alias("data_type"),
+    )
+    rows = wide.unionByName(flat(spark, ("s", "wide", None, 0, "Wide.", None), ("t", "wide", "a", 1, None, "int"),
+                                 ("t", "wide", None, 0, None, None)))
+    write_entries(nest_entries(rows.repartition(7)), str(tmp_path / "docs"))
+    back = read_entries(spark, str(tmp_path / "docs"))
+    assert {(r["schema"], r["part"], len(r["columns"])) for r in back.collect()} == {
+        ("s", 0, COLUMNS_PER_ENTRY), ("s", 1, COLUMNS_PER_ENTRY), ("s", 2, 3), ("t", 0, 1),
+    }
+    again = flatten_entries(back).select(rows.columns)
+    assert again.exceptAll(rows).count() == rows.exceptAll(again).count() == 0
+
+
+def test_coverage_and_worklist(spark):
+    objects = catalog_objects(catalog(spark, a="id name", b="id"))
+    described = flat(
+        spark, ("s", "a", None, 0, "A.", None), ("s", "a", "id", 1, "Key.", None), ("s", "a", "name", 2, "", None),
+        ("x", "b", "id", 1, "Other schema.", None), ("s", "gone", "id", 1, "Gone.", None),
+    )
+    found = {r["table"]: (r["objects"], r["documented"], r["ratio"]) for r in coverage(objects, described).collect()}
+    assert found == {"a": (3, 2, 2 / 3), "b": (2, 0, 0.0)}
+    missing = {(r["table"], r["column"]) for r in undocumented(objects, described).collect()}
+    assert missing == {("a", "name"), ("b", None), ("b", "id")}
+    prompts = {(r["table"], r["column"]): (r["item_type"], r["prompt"]) for r in worklist(objects, described).collect()}
+    assert prompts.keys() == missing
+    assert prompts["b", None][0] == "table" and "table 'b'. Context: . Rules" in prompts["b", None][1]
+    assert prompts["b", "id"][0] == "column" and "column 'id'. Context: Table: b. Rules" in prompts["b", "id"][1]
+    assert worklist(objects, described, overwrite=True).count() == 5
+    assert worklist(objects, described, overwrite=False).count() == 3
+    joined = {(r["table"], r["column"]): r["description"] for r in with_descriptions(objects, described).collect()}
+    assert joined["a", None] == "A." and joined["b", "id"] is None and len(joined) == 5
+
+
+def test_merge_replaces_whole_tables(spark):
+    stored = flat(spark, ("s", "a", "x", 1, "old", None), ("s", "a", "dropped", 2, "old", None),
+                  ("t", "a", "x", 1, "kept", None), ("s", "b", "x", 1, "kept", None))
+    now = flat(spark, ("s", "a", "x", 1, "new", None), ("s", "c", "x", 1, "new", None))
+    merged = {(r["schema"], r["table"], r["column"]): r["description"] for r in merge_descriptions(stored, now).collect()}
+    assert merged == {("s", "a", "x"): "new", ("t", "a", "x"): "kept", ("s", "b", "x"): "kept", ("s", "c", "x"): "new"}
+
+
+def test_publishable(spark):
+    rows = flat(spark, ("s", "p.a", "x", 1, "fine", None), ("s", "a", "y", 2, "", None), ("s", "a", "z", 3, None, None),
+                ("s", "a", "e", 4, "Conn Error: x", None), ("s", "a", "f", 5, "ERROR: key", None))
+    assert [(r["table"], r["column"]) for r in publishable(rows).collect()] == [("a", "x")]
+
+
+@pytest.mark.parametrize(
+    ("overwrite", "expected"),
+    [
+        (None, {None: "A table.", "id": "stored", "name": "Answered.", "size": None}),
+        (True, {None: "A table.", "id": "Better.", "name": "Answered.", "size": None}),
+    ],
+)
+def test_refresh(spark, overwrite, expected):
+    stored = flat(spark, ("s", "a", "id", 1, "stored", "int"), ("s", "a", "dropped", 2, "stored", "int"),
+                  ("s", "a", "name", 2, "", "int"), ("s", "b", "id", 1, "other", "int"))
+    answers = flat(spark, ("s", "a", None, 0, "# Title\nA  table.", None), ("s", "a", "id", 1, "**x:** Better.", None),
+                   ("s", "a", "name", 2, "Description: Answered.", None))
+    rows = refresh_documentation(catalog(spark, a="id name size"), stored, answers, overwrite).collect()
+    assert {r["column"]: r["description"] for r in rows if r["table"] == "a"} == expected
+    assert [(r["column"], r["description"]) for r in rows if r["table"] == "b"] == [("id", "other")]
