@@ -20,7 +20,7 @@ from plumbline.functions.outcomes import (
     severity,
     uniqueness_outcome,
 )
-from plumbline.operators.keys import key_profile
+from plumbline.operators.keys import ROWS, SURPLUS, value_counts
 
 FRESHNESS = "Freshness"
 COMPLETENESS = "Completeness"
@@ -50,15 +50,15 @@ class Check:
     data_type: str
 
 
-# One measure row per check; the times and the text are the newest value in its own type.
-_MEASURE = (
-    "struct({number} AS check_number, n_rows, {amount} AS amount, CAST({instant} AS TIMESTAMP) AS instant, "
-    "CAST({wall} AS TIMESTAMP_NTZ) AS wall, CAST({text} AS STRING) AS text)"
-)
-
-
-def _measure(number: int, amount: str = "0L", instant: str = "NULL", wall: str = "NULL", text: str = "NULL") -> str:
-    return _MEASURE.format(number=number, amount=amount, instant=instant, wall=wall, text=text)
+def _measure(
+    number: int, n_rows: str = "n_rows", amount: str = "0L", instant: str = "NULL", wall: str = "NULL", text: str = "NULL"
+) -> list[str]:
+    """The columns of a measure row; the times and the text are the newest value in its own type."""
+    return [
+        f"{number} AS check_number", f"{n_rows} AS n_rows", f"{amount} AS amount",
+        f"CAST({instant} AS TIMESTAMP) AS instant", f"CAST({wall} AS TIMESTAMP_NTZ) AS wall",
+        f"CAST({text} AS STRING) AS text",
+    ]
 
 
 def _has_nested(schema: StructType) -> bool:
@@ -77,7 +77,7 @@ def scan_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFra
         if check.check_type == COMPLETENESS or check.data_type not in [*TEMPORAL_TYPES, "string"]:
             totals[non_null] = count.format(check.field)
             amount = f"n_rows - {non_null}" if check.check_type == COMPLETENESS else non_null
-            measures.append(_measure(number, amount))
+            measures.append(_measure(number, amount=amount))
             continue
         totals[newest] = f"max(`{check.field}`)"
         if check.data_type == "timestamp":
@@ -87,11 +87,12 @@ def scan_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFra
         else:
             measures.append(_measure(number, wall=newest))
     one_row = df.selectExpr(*(f"{aggregate} AS {name}" for name, aggregate in totals.items()))
-    return one_row.selectExpr(f"inline(array({', '.join(measures)}))")
+    structs = (f"struct({', '.join(columns)})" for columns in measures)
+    return one_row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
 def key_measures(df: DataFrame, number: int, check: Check) -> DataFrame:
-    return key_profile(df, check.field).selectExpr(f"inline(array({_measure(number, 'surplus')}))")
+    return value_counts(df, check.field).selectExpr(*_measure(number, ROWS, SURPLUS))
 
 
 def table_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> list[DataFrame]:
@@ -109,7 +110,7 @@ def gather(measures: Sequence[DataFrame]) -> DataFrame:
     """
     if len(measures) == 1:
         return measures[0]
-    return reduce(DataFrame.unionByName, measures).repartition(1)
+    return reduce(DataFrame.union, measures).repartition(1)
 
 
 def label_measures(measures: DataFrame, checks: Sequence[Check], clock: Clock) -> DataFrame:

@@ -20,16 +20,22 @@ def grouping_key(name: str, data_type: DataType) -> Column:
     return F.expr(f"IF(octet_length(`{name}`) < 32, {as_bytes}, unhex(sha2({as_bytes}, 256)))")
 
 
-def key_profile(df: DataFrame, name: str) -> DataFrame:
-    """One row: ``n_rows``, ``nulls`` and ``surplus`` (non-null values beyond the first of each).
+# Aggregates over ``value_counts``; surplus rows are the non-null rows beyond the first of each value.
+ROWS = "coalesce(sum(n), 0L)"
+NULLS = "coalesce(sum(n) FILTER (WHERE value IS NULL), 0L)"
+SURPLUS = "coalesce(sum(n - 1) FILTER (WHERE value IS NOT NULL), 0L)"
+
+
+def value_counts(df: DataFrame, name: str) -> DataFrame:
+    """``value, n`` for each value of a column.
 
     Grouped by the value, so that a hot value is counted before the shuffle and several
     columns do not multiply the rows of one plan as several distinct counts would.
     """
-    key = grouping_key(name, df.schema[name].dataType).alias("value")
-    groups = df.groupBy(key).agg(F.expr("count(1) AS n"))
-    return groups.selectExpr(
-        "coalesce(sum(n), 0) AS n_rows",
-        "coalesce(sum(n) FILTER (WHERE value IS NULL), 0) AS nulls",
-        "coalesce(sum(n - 1) FILTER (WHERE value IS NOT NULL), 0) AS surplus",
-    )
+    key = grouping_key(name, df.schema[name].dataType)
+    return df.groupBy(key.alias("value")).agg(F.expr("count(1) AS n"))
+
+
+def key_profile(df: DataFrame, name: str) -> DataFrame:
+    """One row: ``n_rows``, ``nulls`` and ``surplus``."""
+    return value_counts(df, name).selectExpr(f"{ROWS} AS n_rows", f"{NULLS} AS nulls", f"{SURPLUS} AS surplus")

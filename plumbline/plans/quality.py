@@ -136,7 +136,7 @@ class QualityRun:
 
         def measure(key: tuple[str, str], group: list[Check]) -> pa.Table:
             numbered = [(numbers[check], check) for check in group]
-            return reduce(DataFrame.unionByName, table_measures(self.frames[key], numbered)).toArrow()
+            return reduce(DataFrame.union, table_measures(self.frames[key], numbered)).toArrow()
 
         @inheritable_thread_target(self.spark)
         def run_table(key: tuple[str, str]) -> tuple[list[pa.Table], list[dict]]:
