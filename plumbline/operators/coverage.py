@@ -46,14 +46,17 @@ def undocumented(objects: DataFrame, descriptions: DataFrame) -> DataFrame:
 
 
 def coverage(objects: DataFrame, descriptions: DataFrame) -> DataFrame:
-    """Per table: objects, documented objects and their ratio."""
+    """Per table: objects, documented objects and their ratio.
+
+    Only the keys of the non-empty descriptions take part in the join, never their text.
+    """
+    documented = descriptions.where(_has_description(F.col("description"))).select(
+        *_TABLE, "column", F.lit(True).alias("is_documented")
+    )
     return (
-        with_descriptions(objects, descriptions)
-        .groupBy(*_TABLE)
-        .agg(
-            F.count(F.lit(1)).alias("objects"),
-            F.count_if(_has_description(F.col("description"))).alias("documented"),
-        )
+        objects.join(documented, _same_object(objects, documented), "left")
+        .groupBy(*(objects[c] for c in _TABLE))
+        .agg(F.count(F.lit(1)).alias("objects"), F.count("is_documented").alias("documented"))
         .withColumn("ratio", F.col("documented") / F.col("objects"))
     )
 

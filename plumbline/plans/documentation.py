@@ -21,10 +21,10 @@ def refresh_documentation(
     answer when it has no description yet, or always with ``overwrite``; columns that a table no
     longer has vanish with its old entry.
     """
-    cleaned = answers.withColumn("description", clean_description(F.col("description")))
     objects = with_descriptions(catalog_objects(catalog), stored, "existing")
-    objects = with_descriptions(objects, cleaned, "answer")
+    objects = with_descriptions(objects, answers, "answer")
     kept = F.when(F.col("existing") != "", F.col("existing"))
-    order = (F.col("answer"), F.col("existing")) if overwrite else (kept, F.col("answer"), F.col("existing"))
+    answer = F.when(F.col("answer").isNotNull(), clean_description(F.col("answer")))
+    order = (answer, F.col("existing")) if overwrite else (kept, answer, F.col("existing"))
     now = objects.withColumn("description", F.coalesce(*order)).select(*DESCRIPTION_COLUMNS)
-    return merge_descriptions(stored.select(*DESCRIPTION_COLUMNS), now)
+    return merge_descriptions(stored.select(*DESCRIPTION_COLUMNS), now, replaced=catalog)

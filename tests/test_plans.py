@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.ages import Clock
 from plumbline.operators.checks import completeness, uniqueness
 from plumbline.operators.coverage import catalog_objects, coverage, undocumented
-from plumbline.operators.merge import merge_descriptions
+from plumbline.operators.merge import checked_broadcast, merge_descriptions
 from plumbline.operators.report import top_findings
 from plumbline.plans.documentation import refresh_documentation
 from plumbline.plans.quality import run_checks
@@ -98,8 +98,7 @@ def test_metadata_joins_are_keyed(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         for df in (
-            coverage(objects, catalog), undocumented(objects, catalog), merge_descriptions(catalog, catalog),
-            refresh_documentation(catalog, catalog, catalog),
+            coverage(objects, catalog), undocumented(objects, catalog), refresh_documentation(catalog, catalog, catalog),
         ):
             text = plan(df)
             assert "NestedLoop" not in text and "Cartesian" not in text
@@ -108,6 +107,27 @@ def test_metadata_joins_are_keyed(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
 
 
+def test_merge_broadcasts_only_counted_names(spark):
+    rows = spark.range(50).select(
+        F.lit("s").alias("schema"), (F.col("id") % 3).cast("string").alias("table"), F.col("id").cast("string").alias("column")
+    )
+    names = rows.select("schema", "table").distinct()
+    assert "ResolvedHint" in checked_broadcast(names, 3)._jdf.queryExecution().analyzed().toString()
+    assert "ResolvedHint" not in checked_broadcast(names, 2)._jdf.queryExecution().analyzed().toString()
+    text = plan(merge_descriptions(rows, rows))
+    assert "BroadcastHashJoin" in text and "LeftAnti" in text and "hashpartitioning(column" not in text
+
+
+def test_coverage_moves_no_text(spark):
+    rows = spark.range(50).select(
+        F.lit("s").alias("schema"), F.lit("t").alias("table"), F.col("id").cast("string").alias("column"),
+        F.col("id").alias("ordinal"), F.lit("int").alias("data_type"), F.uuid().alias("description"),
+    )
+    for df in (coverage(catalog_objects(rows), rows), undocumented(catalog_objects(rows), rows)):
+        shuffled = re.findall(r"Exchange hashpartitioning.*\n.*?Project \[([^\]]*)\]", plan(df))
+        assert shuffled and not any("description" in columns for columns in shuffled)
+
+
 def test_clock_is_one_moment_per_query(spark):
     row = spark.range(0, 4, 1, 4).select(Clock().instant.alias("t")).distinct().count()
     assert row == 1
