@@ -20,7 +20,7 @@ from plumbline.functions.outcomes import (
     severity,
     uniqueness_outcome,
 )
-from plumbline.operators.keys import ROWS, SURPLUS, value_counts
+from plumbline.operators.keys import key_profiles
 
 FRESHNESS = "Freshness"
 COMPLETENESS = "Completeness"
@@ -51,11 +51,11 @@ class Check:
 
 
 def _measure(
-    number: int, n_rows: str = "n_rows", amount: str = "0L", instant: str = "NULL", wall: str = "NULL", text: str = "NULL"
+    number: int | str, amount: str = "0L", instant: str = "NULL", wall: str = "NULL", text: str = "NULL"
 ) -> list[str]:
     """The columns of a measure row; the times and the text are the newest value in its own type."""
     return [
-        f"{number} AS check_number", f"{n_rows} AS n_rows", f"{amount} AS amount",
+        f"{number} AS check_number", "n_rows", f"{amount} AS amount",
         f"CAST({instant} AS TIMESTAMP) AS instant", f"CAST({wall} AS TIMESTAMP_NTZ) AS wall",
         f"CAST({text} AS STRING) AS text",
     ]
@@ -91,15 +91,18 @@ def scan_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFra
     return one_row.selectExpr(f"inline(array({', '.join(structs)}))")
 
 
-def key_measures(df: DataFrame, number: int, check: Check) -> DataFrame:
-    return value_counts(df, check.field).selectExpr(*_measure(number, ROWS, SURPLUS))
-
-
-def table_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> list[DataFrame]:
-    """Measures of numbered checks: one frame for everything that a scan answers and one per uniqueness check."""
-    scanned = [(n, c) for n, c in checks if c.check_type != UNIQUENESS]
-    frames = [scan_measures(df, scanned)] if scanned else []
-    return frames + [key_measures(df, n, c) for n, c in checks if c.check_type == UNIQUENESS]
+def measure_frames(tables: Sequence[tuple[DataFrame, Sequence[tuple[int, Check]]]]) -> list[DataFrame]:
+    """Measures of numbered checks: a frame per scanned table and one for all uniqueness checks."""
+    frames = []
+    keys = []
+    for df, checks in tables:
+        scanned = [(n, c) for n, c in checks if c.check_type != UNIQUENESS]
+        if scanned:
+            frames.append(scan_measures(df, scanned))
+        keys += [(n, df, c.field) for n, c in checks if c.check_type == UNIQUENESS]
+    if keys:
+        frames.append(key_profiles(keys).selectExpr(*_measure("number", amount="surplus")))
+    return frames
 
 
 def gather(measures: Sequence[DataFrame]) -> DataFrame:
@@ -149,7 +152,7 @@ def _check_columns(df: DataFrame, kind: str, columns: Sequence[str], clock: Cloc
         Check(i, 0, "", table_name, name, kind, name, df.schema[name].dataType.simpleString())
         for i, name in enumerate(columns)
     ]
-    return label_measures(gather(table_measures(df, list(enumerate(checks)))), checks, clock)
+    return label_measures(gather(measure_frames([(df, list(enumerate(checks)))])), checks, clock)
 
 
 def completeness(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:

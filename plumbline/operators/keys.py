@@ -1,11 +1,16 @@
-"""Null and duplicate counts of one column from a single grouped pass."""
+"""Null and duplicate counts of columns, each from a single grouped pass."""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, DataType, StringType
 
+from plumbline.functions.literals import local_rows
+
 
 def grouping_key(name: str, data_type: DataType) -> Column:
     """A key that is equal exactly when the values are, at most 32 bytes for text and binary.
@@ -20,22 +25,26 @@ def grouping_key(name: str, data_type: DataType) -> Column:
     return F.expr(f"IF(octet_length(`{name}`) < 32, {as_bytes}, unhex(sha2({as_bytes}, 256)))")
 
 
-# Aggregates over ``value_counts``; surplus rows are the non-null rows beyond the first of each value.
-ROWS = "coalesce(sum(n), 0L)"
-NULLS = "coalesce(sum(n) FILTER (WHERE value IS NULL), 0L)"
-SURPLUS = "coalesce(sum(n - 1) FILTER (WHERE value IS NOT NULL), 0L)"
-
+def key_profiles(columns: Sequence[tuple[int, DataFrame, str]]) -> DataFrame:
+    """``number, n_rows, nulls, surplus`` of numbered columns, of one table or of several.
 
-def value_counts(df: DataFrame, name: str) -> DataFrame:
-    """``value, n`` for each value of a column.
-
-    Grouped by the value, so that a hot value is counted before the shuffle and several
-    columns do not multiply the rows of one plan as several distinct counts would.
+    Surplus rows are the non-null rows beyond the first of each value. Each column is grouped by
+    its value, so that a hot value is counted before the shuffle and several columns do not
+    multiply the rows of one plan as several distinct counts would. One last small exchange adds
+    up the groups of all columns; a first group without rows keeps empty tables in.
     """
-    key = grouping_key(name, df.schema[name].dataType)
-    return df.groupBy(key.alias("value")).agg(F.expr("count(1) AS n"))
-
-
-def key_profile(df: DataFrame, name: str) -> DataFrame:
-    """One row: ``n_rows``, ``nulls`` and ``surplus``."""
-    return value_counts(df, name).selectExpr(f"{ROWS} AS n_rows", f"{NULLS} AS nulls", f"{SURPLUS} AS surplus")
+    spark = columns[0][1].sparkSession
+    groups = [local_rows(spark, [{"number": n, "n": 0} for n, _, _ in columns], "number int, is_null boolean, n long")]
+    for number, df, name in columns:
+        key = grouping_key(name, df.schema[name].dataType)
+        counts = df.groupBy(key.alias("value")).agg(F.expr("count(1) AS n"))
+        groups.append(counts.selectExpr(f"{number} AS number", "value IS NULL AS is_null", "n"))
+    return (
+        reduce(DataFrame.union, groups)
+        .groupBy("number")
+        .agg(
+            F.expr("sum(n) AS n_rows"),
+            F.expr("coalesce(sum(n) FILTER (WHERE is_null), 0L) AS nulls"),
+            F.expr("coalesce(sum(n - 1) FILTER (WHERE NOT is_null), 0L) AS surplus"),
+        )
+    )

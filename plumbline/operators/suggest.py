@@ -16,7 +16,7 @@ from plumbline.functions.names import (
     suggests_freshness,
 )
 from plumbline.operators.checks import gather
-from plumbline.operators.keys import key_profile
+from plumbline.operators.keys import key_profiles
 
 _TABLE = ["schema", "table"]
 
@@ -100,6 +100,7 @@ def candidate_evidence(catalog: DataFrame, tables: Mapping[tuple[str, str], Data
     for number, candidate in enumerate(candidates):
         by_table.setdefault((candidate["schema"], candidate["table"]), []).append(number)
     measures: list[DataFrame] = []
+    keys: list[tuple[int, DataFrame, str]] = []
     for key, numbers in by_table.items():
         scanned = {n: candidates[n]["column"] for n in numbers if candidates[n]["kind"] == "freshness"}
         if scanned:
@@ -108,10 +109,9 @@ def candidate_evidence(catalog: DataFrame, tables: Mapping[tuple[str, str], Data
             )
             structs = (f"struct({n} AS number, n_rows, nulls_{n} AS nulls, CAST(NULL AS LONG) AS surplus)" for n in scanned)
             measures.append(counts.selectExpr(f"inline(array({', '.join(structs)}))"))
-        for n in numbers:
-            if candidates[n]["kind"] == "completeness":
-                profile = key_profile(tables[key], candidates[n]["column"])
-                measures.append(profile.selectExpr(f"{n} AS number", "n_rows", "nulls", "surplus"))
+        keys += [(n, tables[key], candidates[n]["column"]) for n in numbers if candidates[n]["kind"] == "completeness"]
+    if keys:
+        measures.append(key_profiles(keys))
     if not measures:
         return candidate_columns(catalog).selectExpr(
             "*", "0L AS n_rows", "0L AS nulls", "CAST(NULL AS LONG) AS surplus", "false AS usable"

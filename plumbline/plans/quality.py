@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict
 from datetime import datetime, timezone
@@ -18,7 +17,7 @@ from plumbline.functions.ages import Clock
 from plumbline.functions.literals import local_rows
 from plumbline.functions.names import TEMPORAL_TYPES
 from plumbline.functions.outcomes import BAD_NAME, ERROR, ERROR_TEXT_LENGTH, FAILED, NOT_TEMPORAL, SQL_ERROR, WARNING
-from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, gather, label_measures, table_measures
+from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, gather, label_measures, measure_frames
 from plumbline.sources.configs import unpivot_checks
 from plumbline.sources.results_log import append_log, new_run_id, stamp_results
 from plumbline.sources.tables import Tables
@@ -108,21 +107,17 @@ class QualityRun:
         else:
             self.by_table.setdefault(key, []).append(check)
 
-    def _label(self, keys: Iterable[tuple[str, str]]) -> DataFrame:
-        measures: list[DataFrame] = []
-        checks: list[Check] = []
-        for key in keys:
-            numbered = list(enumerate(self.by_table[key], start=len(checks)))
-            measures += table_measures(self.frames[key], numbered)
-            checks += self.by_table[key]
-        return label_measures(gather(measures), checks, self.clock)
-
     def results(self) -> DataFrame:
         """All results as one lazy DataFrame; meant for tens of tables."""
         known = local_rows(self.spark, self.findings, RESULT_SCHEMA)
         if not self.by_table:
             return known
-        measured = self._label(self.by_table)
+        checks = [check for group in self.by_table.values() for check in group]
+        numbers = {check: number for number, check in enumerate(checks)}
+        frames = measure_frames(
+            [(self.frames[key], [(numbers[check], check) for check in group]) for key, group in self.by_table.items()]
+        )
+        measured = label_measures(gather(frames), checks, self.clock)
         return measured.unionByName(known) if self.findings else measured
 
     def isolated_results(self) -> DataFrame:
@@ -136,7 +131,7 @@ class QualityRun:
 
         def measure(key: tuple[str, str], group: list[Check]) -> pa.Table:
             numbered = [(numbers[check], check) for check in group]
-            return reduce(DataFrame.union, table_measures(self.frames[key], numbered)).toArrow()
+            return reduce(DataFrame.union, measure_frames([(self.frames[key], numbered)])).toArrow()
 
         @inheritable_thread_target(self.spark)
         def run_table(key: tuple[str, str]) -> tuple[list[pa.Table], list[dict]]:
@@ -158,7 +153,7 @@ class QualityRun:
         known = local_rows(self.spark, findings, RESULT_SCHEMA)
         if not measured:
             return known
-        measures = self.spark.createDataFrame(pa.concat_tables(measured))
+        measures = self.spark.createDataFrame(pa.concat_tables(measured, promote_options="default"))
         return label_measures(measures, checks, self.clock).unionByName(known)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.ages import Clock
 from plumbline.operators.checks import completeness, freshness, uniqueness
-from plumbline.operators.keys import key_profile
+from plumbline.operators.keys import key_profiles
 
 NOW = datetime(2024, 3, 10, 12)
 
@@ -52,6 +52,10 @@ def test_uniqueness_counts_surplus_rows_and_ignores_null(spark):
     assert rows(uniqueness(df, ["k"])) == [("k", "2 duplicates", "Failed", "FAIL", 2.0)]
 
 
+def key_profile(df, name):
+    return key_profiles([(0, df, name)]).drop("number")
+
+
 def test_uniqueness_of_long_and_short_text(spark):
     texts = [None, "", "a" * 31, "a" * 31, "a" * 32, "a" * 32, "a" * 33, "é" * 15, "é" * 16, "é" * 16, "é" * 5000, "é" * 5000]
     df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", F.col("t").cast("binary").alias("b"))

@@ -88,23 +88,25 @@ def test_report_sections_are_cut_before_the_shuffle(spark):
     assert "Partial" in text
 
 
-def test_metadata_joins_are_keyed(spark):
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_metadata_joins_are_keyed(spark, no_broadcast):
     catalog = spark.range(50).select(
         F.lit("s").alias("schema"), (F.col("id") % 3).cast("string").alias("table"), F.col("id").cast("string").alias("column"),
         F.col("id").alias("ordinal"), F.lit("int").alias("data_type"), F.lit("text").alias("description"),
     )
     objects = catalog_objects(catalog)
-    previous = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        for df in (
-            coverage(objects, catalog), undocumented(objects, catalog), refresh_documentation(catalog, catalog, catalog),
-        ):
-            text = plan(df)
-            assert "NestedLoop" not in text and "Cartesian" not in text
-            assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", previous)
+    for df in (
+        coverage(objects, catalog), undocumented(objects, catalog), refresh_documentation(catalog, catalog, catalog),
+    ):
+        text = plan(df)
+        assert "NestedLoop" not in text and "Cartesian" not in text
+        assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
 
 
 def test_merge_broadcasts_only_counted_names(spark):
@@ -118,7 +120,7 @@ def test_merge_broadcasts_only_counted_names(spark):
     assert "BroadcastHashJoin" in text and "LeftAnti" in text and "hashpartitioning(column" not in text
 
 
-def test_coverage_moves_no_text(spark):
+def test_coverage_moves_no_text(spark, no_broadcast):
     rows = spark.range(50).select(
         F.lit("s").alias("schema"), F.lit("t").alias("table"), F.col("id").cast("string").alias("column"),
         F.col("id").alias("ordinal"), F.lit("int").alias("data_type"), F.uuid().alias("description"),
