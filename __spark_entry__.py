@@ -83,7 +83,8 @@ _KEYS = [
 
 
 def uniqueness_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _union(*(uniqueness(_read(spark, sf_dir, t), [c]) for t, c in _KEYS)).select(RESULT)
+    config = config_from_entries(spark, [{"table": t, "uniqueness_col": c} for t, c in _KEYS])
+    return run_checks(spark, config, parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")).select(RESULT)
 
 
 def uniqueness_ignores_null(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -105,28 +105,20 @@ def measure_frames(tables: Sequence[tuple[DataFrame, Sequence[tuple[int, Check]]
     return frames
 
 
-def gather(measures: Sequence[DataFrame]) -> DataFrame:
-    """Measures of many frames as one; a single row per check.
+def label_measures(measures: DataFrame, checks: Sequence[Check], clock: Clock) -> DataFrame:
+    """Result rows of measure rows; ``check_number`` is the index into ``checks``.
 
-    The exchange keeps Catalyst from pushing the labels into every branch of the union, where
-    each copy would be optimized and compiled by itself.
+    Identity and result come out of ``inline``, as Catalyst neither moves labels below one, into
+    every branch of a union, nor copies them into a filter on the result.
     """
-    if len(measures) == 1:
-        return measures[0]
-    return reduce(DataFrame.union, measures).repartition(1)
-
-
-def label_measures(measures: DataFrame, checks: Sequence[Check], clock: Clock) -> DataFrame:
-    """Result rows of measure rows; ``check_number`` is the index into ``checks``."""
     check = F.get(literal_rows([asdict(c) for c in checks], _CHECK_SCHEMA), F.col("check_number"))
-    measures = measures.select("*", check.alias("check"), iso_spelling(F.col("text")).alias("iso")).select("*", "check.*")
     text = F.col("text")
     has_value = F.col("instant").isNotNull() | F.col("wall").isNotNull() | (text != "")
     hours = [hours_between(F.col("instant"), clock.instant), hours_between(F.col("wall"), clock.wall)]
     if any(c.check_type == FRESHNESS and c.data_type == "string" for c in checks):
         hours.append(iso_age_hours(F.col("iso"), clock))
     amount, kind = F.col("amount"), F.col("check_type")
-    result = (
+    outcome = (
         F.when(kind == COMPLETENESS, completeness_outcome(amount))
         .when(kind == UNIQUENESS, uniqueness_outcome(amount))
         .when(
@@ -136,15 +128,18 @@ def label_measures(measures: DataFrame, checks: Sequence[Check], clock: Clock) -
         .otherwise(not_a_time_outcome(amount, F.col("data_type")))
     )
     details: list[Column] = [F.col("metric"), F.col("n_rows").alias("rows"), clock.wall.cast("string").alias("as_of")]
-    return (
-        measures.select("*", F.coalesce(*hours).alias("hours"))
-        .select("*", result.alias("result"))
-        .select("*", "result.*")
-        .select(
-            "pos", "check_pos", "dataset_name", "table_name", "column_name", "check_type", "result_value", "status",
-            severity(F.col("status")).alias("severity"), "metric", F.to_json(F.struct(*details)).alias("metadata"),
-        )
+    result = F.struct(
+        "pos", "check_pos", "dataset_name", "table_name", "column_name", "check_type", "result_value", "status",
+        severity(F.col("status")).alias("severity"), "metric", F.to_json(F.struct(*details)).alias("metadata"),
     )
+    return (
+        measures.select("*", F.inline(F.array(check)))
+        .select("*", iso_spelling(text).alias("iso"))
+        .select("*", F.coalesce(*hours).alias("hours"))
+        .select("*", outcome.alias("outcome"))
+        .select("*", "outcome.*")
+        .select(F.inline(F.array(result)))
+    )
 
 
 def _check_columns(df: DataFrame, kind: str, columns: Sequence[str], clock: Clock, table_name: str) -> DataFrame:
@@ -152,7 +147,8 @@ def _check_columns(df: DataFrame, kind: str, columns: Sequence[str], clock: Cloc
         Check(i, 0, "", table_name, name, kind, name, df.schema[name].dataType.simpleString())
         for i, name in enumerate(columns)
     ]
-    return label_measures(gather(measure_frames([(df, list(enumerate(checks)))])), checks, clock)
+    measures = reduce(DataFrame.union, measure_frames([(df, list(enumerate(checks)))]))
+    return label_measures(measures, checks, clock)
 
 
 def completeness(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,7 +16,6 @@ from plumbline.functions.names import (
     suggests_completeness,
     suggests_freshness,
 )
-from plumbline.operators.checks import gather
 from plumbline.operators.keys import key_profiles
 
 _TABLE = ["schema", "table"]
@@ -121,7 +121,7 @@ def candidate_evidence(catalog: DataFrame, tables: Mapping[tuple[str, str], Data
     ).otherwise((F.col("n_rows") > 0) & (F.col("nulls") == 0) & (F.col("surplus") == 0))
     candidate = F.get(literal_rows(candidates, _CANDIDATE), F.col("number"))
     return (
-        gather(measures)
+        reduce(DataFrame.union, measures)
         .select(F.inline(F.array(candidate)), "n_rows", "nulls", "surplus")
         .select("*", usable.alias("usable"))
     )

@@ -17,7 +17,7 @@ from plumbline.functions.ages import Clock
 from plumbline.functions.literals import local_rows
 from plumbline.functions.names import TEMPORAL_TYPES
 from plumbline.functions.outcomes import BAD_NAME, ERROR, ERROR_TEXT_LENGTH, FAILED, NOT_TEMPORAL, SQL_ERROR, WARNING
-from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, gather, label_measures, measure_frames
+from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, label_measures, measure_frames
 from plumbline.sources.configs import unpivot_checks
 from plumbline.sources.results_log import append_log, new_run_id, stamp_results
 from plumbline.sources.tables import Tables
@@ -117,7 +117,7 @@ class QualityRun:
         frames = measure_frames(
             [(self.frames[key], [(numbers[check], check) for check in group]) for key, group in self.by_table.items()]
         )
-        measured = label_measures(gather(frames), checks, self.clock)
+        measured = label_measures(reduce(DataFrame.union, frames), checks, self.clock)
         return measured.unionByName(known) if self.findings else measured
 
     def isolated_results(self) -> DataFrame:
