@@ -12,6 +12,7 @@ from plumbline.functions.literals import literal_rows
 from plumbline.functions.names import (
     is_excluded,
     is_temporal_type,
+    is_valid_name,
     last_segment,
     suggests_completeness,
     suggests_freshness,
@@ -76,13 +77,13 @@ _CANDIDATE = (
 
 
 def candidate_columns(catalog: DataFrame) -> DataFrame:
-    """Top-level columns whose names make them candidates, one row per kind of check."""
+    """Checkable columns whose names make them candidates, one row per kind of check."""
     kinds = F.array(
         F.when(suggests_freshness(F.col("column")), F.lit("freshness")),
         F.when(suggests_completeness(F.col("column")), F.lit("completeness")),
     )
     return (
-        catalog.where(~F.col("column").contains("."))
+        catalog.where(is_valid_name(F.col("column")))
         .select("*", F.explode(F.array_compact(kinds)).alias("kind"))
         .select(*_TABLE, "table_pos", "ordinal", "column", "data_type", "kind")
     )

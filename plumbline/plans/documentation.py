@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.text import clean_description
 from plumbline.operators.coverage import catalog_objects, with_descriptions
 from plumbline.operators.merge import merge_descriptions
+from plumbline.sources.descriptions import latest_descriptions
 
 DESCRIPTION_COLUMNS = ["schema", "table", "column", "ordinal", "description", "data_type"]
 
@@ -19,9 +20,11 @@ def refresh_documentation(
 
     ``answers`` holds raw returned text by ``schema, table, column``. An object takes its cleaned
     answer when it has no description yet, or always with ``overwrite``; columns that a table no
-    longer has vanish with its old entry.
+    longer has vanish with its old entry. Where ``stored`` tells the place of its entries in a
+    document, the last description of an object counts; otherwise objects are unique.
     """
-    objects = with_descriptions(catalog_objects(catalog), stored, "existing")
+    existing = latest_descriptions(stored) if "entry_pos" in stored.columns else stored
+    objects = with_descriptions(catalog_objects(catalog), existing, "existing")
     objects = with_descriptions(objects, answers, "answer")
     kept = F.when(F.col("existing") != "", F.col("existing"))
     answer = F.when(F.col("answer").isNotNull(), clean_description(F.col("answer")))

@@ -1,7 +1,7 @@
 """Description documents: nested sources, tables and columns, to flat rows and back.
 
 Flat rows hold one described object each: ``schema, table, column, ordinal, description,
-data_type``. The table itself has no column and ordinal 0.
+data_type``. The table itself has no column and ordinal 0; its columns count from 1.
 """
 
 from __future__ import annotations

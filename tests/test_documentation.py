@@ -130,6 +130,13 @@ def test_generated_checks_follow_existing_ones(spark):
     ]
 
 
+def test_odd_names_are_no_evidence(spark):
+    df = spark.createDataFrame([(1, (2,), 3)], "`user``id` int, s struct<id: int>, `my id` int")
+    tables = {("s", "t"): df}
+    assert candidate_evidence(catalog_of(spark, tables), tables).collect() == []
+    assert entries(generate_checks(spark, tables)) == {"s.t": (None, "user`id")}
+
+
 def test_no_candidates_at_all(spark):
     tables = {("s", "t"): spark.range(2).toDF("value")}
     assert candidate_evidence(catalog_of(spark, tables), tables).collect() == []
@@ -237,6 +244,18 @@ def test_publishable(spark):
     assert [(r["table"], r["column"]) for r in publishable(rows).collect()] == [("a", "x")]
 
 
+def test_refresh_from_a_document(spark, tmp_path):
+    (tmp_path / "schema.json").write_text(json.dumps(DOCUMENT))
+    stored = flatten_entries(document_entries(read_document(spark, str(tmp_path / "schema.json"))))
+    orders = spark.createDataFrame([], "id int, total int")
+    answers = flat(spark, ("shop", "orders", "total", 2, "**Total** Sum.", None))
+    rows = refresh_documentation(catalog_of(spark, {("shop", "orders"): orders}), stored, answers).collect()
+    assert {r["column"]: (r["description"], r["data_type"]) for r in rows if r["table"] == "orders"} == {
+        None: ("Orders, again.", None), "id": ("Key.", "int"), "total": ("Sum.", "int"),
+    }
+    assert sorted(r["table"] for r in rows if r["table"] != "orders") == ["empty", "hits", "hits", "loose"]
+
+
 @pytest.mark.parametrize(
     ("overwrite", "expected"),
     [
