@@ -16,7 +16,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.ages import Clock
-from plumbline.functions.names import split_patterns
+from plumbline.functions.names import (
+    is_excluded,
+    is_valid_name,
+    passes_freshness_gate,
+    split_patterns,
+    suggests_completeness,
+    suggests_freshness,
+)
 from plumbline.functions.text import clean_description as clean
 from plumbline.operators.checks import completeness, freshness, uniqueness
 from plumbline.operators.coverage import catalog_objects, count_items, coverage, worklist
@@ -151,6 +158,24 @@ def freshness_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_checks(spark, config_from_entries(spark, entries), frames(tables), AS_OF).select(REPORT)
 
 
+_EXCLUDED = "ING, on,"
+
+
+def name_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every word of the documents taken as a column name: how many names each rule lets through."""
+    words = _read(spark, sf_dir, "documents").select(F.explode(F.split("text", r"\s+")).alias("word"))
+    word = F.col("word")
+    rules = [
+        is_valid_name(word).alias("valid_name"),
+        passes_freshness_gate(word, F.lit("string")).alias("freshness_check"),
+        suggests_freshness(word).alias("freshness_candidate"),
+        suggests_completeness(word).alias("completeness_candidate"),
+        is_excluded(F.lit("words"), word, split_patterns(_EXCLUDED)).alias("excluded"),
+    ]
+    names = words.groupBy("word").agg(F.count("*").alias("n")).select("n", *rules)
+    return names.groupBy(names.columns[1:]).agg(F.count("*").alias("names"), F.sum("n").alias("uses"))
+
+
 # --------------------------------------------------------------------------- runs and reports
 
 _QUALITY = [
@@ -533,6 +558,19 @@ def _gate_sql() -> str:
     FROM gated g LEFT JOIN measured m ON m.table_name = 'lake.' || g.t AND m.column_name = g.c"""
 
 
+_NAMES_SQL = r"""
+    WITH names AS (SELECT word, lower(word) AS w, count(*) AS n
+                   FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents) GROUP BY ALL)
+    SELECT regexp_matches(word, '^[a-zA-Z_][a-zA-Z0-9_]*$') AS valid_name,
+           regexp_matches(word, '^[a-zA-Z_][a-zA-Z0-9_]*$') AND NOT contains(w, 'status') AND regexp_matches(w,
+             'date|time|timestamp|created|updated|modified|ingested|_at|_ts') AS freshness_check,
+           regexp_matches(w, 'ingested|updated|created|_ts|_date|timestamp') AS freshness_candidate,
+           regexp_matches(w, 'id|key|uuid|pk') AS completeness_candidate,
+           contains('words.' || w, 'ing') OR contains('words.' || w, 'on') AS excluded,
+           count(*) AS names, sum(n)::BIGINT AS uses
+    FROM names GROUP BY ALL"""
+
+
 # Candidate key columns of the tables, in table order.
 _KEY_COLUMNS = {
     "region": ["r_regionkey"], "nation": ["n_nationkey", "n_regionkey"], "customer": ["c_custkey", "c_nationkey"],
@@ -655,7 +693,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         completeness_orders, completeness_failing, uniqueness_keys, uniqueness_ignores_null,
         freshness_events, freshness_old, freshness_future, freshness_date, freshness_zoned, freshness_string,
-        freshness_empty, freshness_gate, quality_report, quality_errors, report_summary, report_top10,
+        freshness_empty, freshness_gate, name_rules, quality_report, quality_errors, report_summary, report_top10,
         quality_log_roundtrip, candidate_evidence, suggest_checks, suggest_excluding, checks_append,
         clean_description, doc_coverage, doc_worklist, doc_merge, doc_flatten, doc_items, doc_refresh, push_changes,
     )
@@ -698,6 +736,7 @@ def oracle_sql() -> dict[str, str]:
                            expression="CASE WHEN event_type = 'never' THEN event_type ELSE '' END"),
         ]),
         "freshness_gate": _gate_sql(),
+        "name_rules": _NAMES_SQL,
         "quality_report": _quality_sql(),
         "quality_errors": _errors_sql(),
         "report_summary": _summary_sql(),

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 # Java's Unicode white space plus the four separators that Python also counts as blank.
 _BLANK = r"[\s\x1c-\x1f]"
 
+# Headings, bold labels and the word that a description must lose.
 # d: only \n ends a line; m: ^ matches at each line; U: Unicode white space.
 _HEADING = rf"(?dmU)^{_BLANK}*#+ .*"
 _BOLD_LABEL = r"(?dmU)\*\*.*?\*\*[:\s\x1c-\x1f]*"
