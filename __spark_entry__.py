@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
-from datetime import datetime
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -138,7 +138,9 @@ def freshness_string(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("ts", "yyyyMMdd").alias("ingested"),
         F.col("event_type").alias("modified_at"),
     )
-    return freshness(events, events.columns, Clock(AS_OF)).select(RESULT)
+    local = freshness(events, ["created_at", "ingested", "modified_at"], Clock(AS_OF))
+    zoned = freshness(events, ["updated_at"], Clock(AS_OF.replace(tzinfo=timezone.utc)))
+    return _union(local, zoned).select(RESULT)
 
 
 def freshness_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
