@@ -7,6 +7,7 @@ table with its turns as columns, and a document is a column of the table of its
 
 from __future__ import annotations
 
+import importlib
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
@@ -691,6 +692,22 @@ def entry(spark: SparkSession) -> DataFrame:
     return quality_report(spark, "/root/testdata/sf0.001")
 
 
+def _training_data() -> tuple[dict[str, Callable[[SparkSession, str], DataFrame]], dict[str, str]]:
+    """Queries and SQL of the subpackage ``llm`` and of the pipeline built from it, as far as they are there."""
+    found: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+    sql: dict[str, str] = {}
+    for module in ("plumbline.llm.queries", "corpus_pipeline"):
+        try:
+            part = importlib.import_module(module)
+        except ModuleNotFoundError as missing:
+            if missing.name not in ("plumbline.llm", "plumbline.llm.queries", "corpus_pipeline"):
+                raise
+            continue
+        found |= part.QUERIES
+        sql |= part.SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     registered = (
         completeness_orders, completeness_failing, uniqueness_keys, uniqueness_ignores_null,
@@ -699,13 +716,13 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         quality_log_roundtrip, candidate_evidence, suggest_checks, suggest_excluding, checks_append,
         clean_description, doc_coverage, doc_worklist, doc_merge, doc_flatten, doc_items, doc_refresh, push_changes,
     )
-    return {query.__name__: query for query in registered}
+    return {query.__name__: query for query in registered} | _training_data()[0]
 
 
 def oracle_sql() -> dict[str, str]:
     iso = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
     order_columns = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
-    return {
+    library = {
         "completeness_orders": _union_sql([_completeness_sql("orders", c) for c in order_columns]),
         "completeness_failing": _union_sql([
             _completeness_sql("events", "event_type", "nullif(event_type, 'error')"),
@@ -770,3 +787,4 @@ def oracle_sql() -> dict[str, str]:
                    upper(event_type[1]) || event_type[2:] || ' by user ' || user_id AS description
             FROM events WHERE event_type <> 'error'""",
     }
+    return library | _training_data()[1]

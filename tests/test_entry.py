@@ -18,10 +18,13 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert spark_entry.queries().keys() == spark_entry.oracle_sql().keys()
+    """Those for training data may lack it; their own tests compare them with brute force."""
+    training, _ = spark_entry._training_data()
+    assert spark_entry.oracle_sql().keys() <= spark_entry.queries().keys()
+    assert spark_entry.queries().keys() - spark_entry.oracle_sql().keys() <= training.keys()
 
 
-@pytest.mark.parametrize("name", spark_entry.queries())
+@pytest.mark.parametrize("name", spark_entry.oracle_sql())
 def test_query_matches_sql(spark, connection, name):
     names, rows = spark_table(spark_entry.queries()[name](spark, SF_DIR))
     expected_names, expected = sql_table(connection, spark_entry.oracle_sql()[name])
