@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import language_id, neighbours, packing, sharding, token_counts
+from plumbline.llm import language_id, neighbours, packing, pii, sharding, token_counts
 from plumbline.llm.common import SPACES, text_or_empty
 
 SHARDS = 8
@@ -35,6 +35,14 @@ def op3_byte_range_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_disclosure_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.sanitise(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "doc_id", *[f"n_{k}" for k in pii.KINDS], F.sha2(pii.span_list("base_spans"), 256).alias("base_sha256"),
+        pii.span_list("spans").alias("spans"),
+    )
+
+
 def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = neighbours.usable_vectors(_read(spark, sf_dir, "embeddings"))
     return neighbours.nearest_neighbours(vectors.where(F.col("vec_id") % QUERY_EVERY == 0), vectors, NEIGHBOURS)
@@ -72,7 +80,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_byte_range_shards, op5_nearest_neighbours, op7_best_fit_packing, op9_token_counts, op10_language_id)
+    for f in (op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op7_best_fit_packing, op9_token_counts, op10_language_id)
 }
 
 SQL: dict[str, str] = {}
