@@ -23,6 +23,7 @@ from plumbline.llm.common import without
 
 DIMENSIONS = 2048
 KEPT_GROUPS = 30_000
+TOGETHER = 4_000  # groups in one product
 UNDETERMINED = "und"
 ADDED = ["lang_pred", "score"]
 
@@ -61,26 +62,51 @@ class Space:
         a, b, c = (self.letter((code >> s) & 0x1FFFFF) for s in (42, 21, 0))
         return np.roll(a, 2) * np.roll(b, 1) * c
 
+    def rows(self, codes: list[int]) -> np.ndarray:
+        """The vectors of at most ``KEPT_GROUPS`` groups."""
+        new = [c for c in codes if c not in self.place]
+        if len(self.place) + len(new) > KEPT_GROUPS:
+            self.place, self.groups, new = {}, self.groups[:0], codes
+        if len(self.place) + len(new) > len(self.groups):
+            grown = np.zeros((2 * (len(self.place) + len(new)), self.dimensions), np.int8)
+            grown[: len(self.groups)] = self.groups
+            self.groups = grown
+        for c in new:
+            self.groups[len(self.place)] = self.bound(c)
+            self.place[c] = len(self.place)
+        return self.groups[[self.place[c] for c in codes]]
+
     def bundle(self, codes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """The sum of the groups' vectors, each as often as it is counted."""
-        total = np.zeros(self.dimensions, np.float64)
-        for at in range(0, len(codes), KEPT_GROUPS):
-            part = codes[at : at + KEPT_GROUPS].tolist()
-            new = [c for c in part if c not in self.place]
-            if len(self.place) + len(new) > KEPT_GROUPS:
-                self.place, self.groups, new = {}, self.groups[:0], part
-            if new:
-                if len(self.place) + len(new) > len(self.groups):
-                    grown = np.zeros((2 * (len(self.place) + len(new)), self.dimensions), np.int8)
-                    grown[: len(self.groups)] = self.groups
-                    self.groups = grown
-                for c in new:
-                    self.groups[len(self.place)] = self.bound(c)
-                    self.place[c] = len(self.place)
-            rows = self.groups[[self.place[c] for c in part]]
-            total += counts[at : at + len(part)].astype(np.float64) @ rows
+        """For each row of ``counts`` the sum of the groups' vectors, each as often as it is counted; ``codes`` differ."""
+        total = np.zeros((len(counts), self.dimensions))
+        for at in range(0, len(codes), TOGETHER):
+            part = slice(at, at + TOGETHER)
+            # Whole numbers; float32 holds them exactly below 2**24, which the counts of one part rarely leave.
+            kind = np.float32 if counts[:, part].sum(axis=1).max() < 2**24 else np.float64
+            total += counts[:, part].astype(kind) @ self.rows(codes[part].tolist()).astype(kind)
         return total
 
+    def vectors(self, texts: list[str | None]) -> Iterator[tuple[int, np.ndarray]]:
+        """Number and vector of each text with letters, many texts in one product."""
+        wait: list[tuple[int, np.ndarray, np.ndarray]] = []
+        size = 0
+        for i, text in enumerate(texts):
+            codes = self.codes(text) if text else ()
+            if len(codes):
+                wait.append((i, *np.unique(codes, return_counts=True)))
+                size += len(wait[-1][1])
+            if wait and (size >= TOGETHER * 8 or len(wait) >= 64 or i == len(texts) - 1):
+                yield from self._product(wait)
+                wait, size = [], 0
+        if wait:
+            yield from self._product(wait)
+
+    def _product(self, wait: list[tuple[int, np.ndarray, np.ndarray]]) -> Iterator[tuple[int, np.ndarray]]:
+        every, place = np.unique(np.concatenate([codes for _, codes, _ in wait]), return_inverse=True)
+        counts = np.zeros((len(wait), len(every)))
+        counts[np.repeat(np.arange(len(wait)), [len(codes) for _, codes, _ in wait]), place] = np.concatenate([n for *_, n in wait])
+        yield from zip([i for i, *_ in wait], self.bundle(every, counts), strict=True)
+
 
 @dataclass
 class Profiles:
@@ -109,7 +135,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
         for batch in batches:
             frame = batch.to_pandas()
             for language, part in frame.groupby("lang"):
-                total = space.bundle(part["code"].to_numpy(), part["n"].to_numpy())
+                total = space.bundle(part["code"].to_numpy(), part["n"].to_numpy()[None, :])[0]
                 sums[language] = sums.get(language, 0) + total
         if sums:
             yield pa.RecordBatch.from_arrays(
@@ -139,16 +165,11 @@ def identify(text: Column, profiles: Profiles) -> Column:
     def identified(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         space = Space(dimensions)
         for texts in batches:
-            found = []
-            for body in texts:
-                codes = space.codes(body) if body and languages else ()
-                if not len(codes):
-                    found.append((UNDETERMINED, 0.0))
-                    continue
-                vector = space.bundle(*np.unique(codes, return_counts=True))
+            found = [(UNDETERMINED, 0.0)] * len(texts)
+            for i, vector in space.vectors(list(texts)) if languages else ():
                 cosines = vectors @ (vector / max(float(np.linalg.norm(vector)), 1e-300))
                 best = int(np.argmax(cosines))  # of equal ones the first by name
-                found.append((languages[best], float(min(1.0, max(0.0, cosines[best])))))
+                found[i] = (languages[best], float(min(1.0, max(0.0, cosines[best]))))
             yield pd.DataFrame(found, columns=["lang_pred", "score"])
 
     return identified(text)
