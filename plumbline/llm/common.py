@@ -52,3 +52,16 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Most bytes of keys that are sent to every executor.
+BROADCAST_BYTES = 64 << 20
+
+
+def hinted(keys: DataFrame, n_bytes: int) -> DataFrame:
+    """``keys`` to be broadcast if their measured size is within the bound and the session allows broadcasts.
+
+    Otherwise as they are: the join then goes by a shuffle.
+    """
+    threshold = str(keys.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return F.broadcast(keys) if not threshold.startswith("-") and n_bytes <= BROADCAST_BYTES else keys

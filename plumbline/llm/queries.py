@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import language_id, neighbours, packing, pii, sharding, token_counts
+from plumbline.llm import decontaminate, language_id, line_dedup, neighbours, packing, pii, sharding, token_counts
 from plumbline.llm.common import SPACES, text_or_empty
 
 SHARDS = 8
@@ -24,6 +24,15 @@ def _crc(text):
     return F.crc32(F.coalesce(text, F.lit("")).cast("binary"))
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.decontaminate(docs, _read(spark, sf_dir, "benchmark")).drop("text")
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op3_byte_range_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = text_or_empty()
     docs = _read(spark, sf_dir, "documents").select(
@@ -80,7 +89,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op7_best_fit_packing, op9_token_counts, op10_language_id)
+    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op7_best_fit_packing, op9_token_counts, op10_language_id)
 }
 
 SQL: dict[str, str] = {}
@@ -100,3 +109,35 @@ WITH usable AS (
 )
 SELECT query_id, n::INTEGER AS rank, vec_id, score FROM ranked WHERE n <= {NEIGHBOURS}
 """
+
+SQL["op2_line_dedup"] = f"""
+WITH parts AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS p FROM documents),
+raw AS (SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) AS line_no FROM parts),
+lines AS (SELECT *, trim(part, ' ' || chr(9) || chr(11) || chr(12) || chr(13)) AS line FROM raw),
+different AS (
+  SELECT line, length(line) AS n, min(doc_id::HUGEINT * 4294967296 + line_no) AS place FROM lines WHERE line <> '' GROUP BY line
+), halves AS (
+  SELECT line, n, place, unnest([
+    'a' || n || left(line, (n - 1) // 2), 'z' || n || right(line, (n - 1) // 2),
+    'a' || (n + 1) || left(line, n // 2), 'z' || (n + 1) || right(line, n // 2)]) AS half
+  FROM different WHERE n >= {line_dedup.SHORTEST_NEAR}
+), pairs AS (
+  SELECT DISTINCT b.line AS late, CASE WHEN a.n > b.n THEN a.line ELSE b.line END AS long,
+         CASE WHEN a.n > b.n THEN b.line ELSE a.line END AS short
+  FROM halves a JOIN halves b ON a.half = b.half AND a.place < b.place
+), near AS (
+  SELECT DISTINCT late FROM pairs WHERE len(list_filter(range(1, length(long) + 1), lambda i:
+    left(long, i - 1) = left(short, i - 1)
+    AND substr(long, i + 1) = substr(short, i + 1 - length(long) + length(short)))) > 0
+), judged AS (
+  SELECT doc_id, line_no, part, line <> '' AS counts,
+         line = '' OR (line NOT IN (SELECT late FROM near) AND doc_id::HUGEINT * 4294967296 + line_no = place) AS stays
+  FROM lines LEFT JOIN different USING (line)
+), left_over AS (
+  SELECT doc_id, coalesce(string_agg(part, chr(10) ORDER BY line_no) FILTER (WHERE stays), '') AS text,
+         count(*) FILTER (WHERE counts) AS n_lines, count(*) FILTER (WHERE NOT stays) AS n_removed
+  FROM judged GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN l.text END AS text, n_lines, n_removed
+FROM documents d JOIN left_over l USING (doc_id)
+"""
