@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, language_id, line_dedup, neighbours, packing, pii, sharding, token_counts
+from plumbline.llm import decontaminate, language_id, line_dedup, near_dedup, neighbours, packing, pii, sharding, token_counts
 from plumbline.llm.common import SPACES, text_or_empty
 
 SHARDS = 8
 NEIGHBOURS = 20
 QUERY_EVERY = 20
+NEAR_PERCENT = near_dedup.PERCENT
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
 
@@ -57,6 +58,10 @@ def op5_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest_neighbours(vectors.where(F.col("vec_id") % QUERY_EVERY == 0), vectors, NEIGHBOURS)
 
 
+def op6_minmax_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(_read(spark, sf_dir, "documents").select("doc_id", "text"), shingle=2).drop("text")
+
+
 def word_count(text):
     """Words between ASCII white space; 0 for a null text."""
     return F.size(F.filter(F.split(text_or_empty(text), SPACES), lambda w: w != ""))
@@ -89,7 +94,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op7_best_fit_packing, op9_token_counts, op10_language_id)
+    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op9_token_counts, op10_language_id)
 }
 
 SQL: dict[str, str] = {}
@@ -141,3 +146,20 @@ different AS (
 SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN l.text END AS text, n_lines, n_removed
 FROM documents d JOIN left_over l USING (doc_id)
 """
+
+SQL["op6_minmax_near_dedup"] = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) < 2 THEN w
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s FROM words
+), grams AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+  SELECT a.doc_id AS a, b.doc_id AS b FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= {NEAR_PERCENT} * (a.n + b.n - count(*))
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
+"""
