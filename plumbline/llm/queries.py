@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, language_id, line_dedup, near_dedup, neighbours, packing, pii, sharding, token_counts
+from plumbline.llm import decontaminate, language_id, line_dedup, near_dedup, neighbours, packing, pii, sharding, suffix_dedup, token_counts
 from plumbline.llm.common import SPACES, text_or_empty
 
 SHARDS = 8
@@ -72,6 +72,11 @@ def op7_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(docs, "n_words")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept_bytes", 256).alias("kept_sha256"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
     counted = token_counts.count_tokens(docs, token_counts.read_pieces(PIECES))
@@ -94,7 +99,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op9_token_counts, op10_language_id)
+    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op8_suffix_dedup, op9_token_counts, op10_language_id)
 }
 
 SQL: dict[str, str] = {}
