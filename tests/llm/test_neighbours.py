@@ -1,0 +1,38 @@
+"""Neighbours against all inner products."""
+
+import random
+
+from plumbline.llm.neighbours import nearest_neighbours, search_cell, usable_vectors
+
+
+def brute(rows, queries, k):
+    out = []
+    for q in queries:
+        scored = [(-sum(a * b for a, b in zip(rows[q], v, strict=True)), i) for i, v in rows.items() if i != q and len(v) == len(rows[q])]
+        out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    from plumbline.llm import neighbours
+
+    monkeypatch.setattr(neighbours, "QUERY_BLOCK", 7)
+    monkeypatch.setattr(neighbours, "CANDIDATE_BLOCK", 60)
+    rng = random.Random(1)
+    rows = {i: [rng.gauss(0, 1) for _ in range(6)] for i in range(300)}
+    for i in range(0, 60, 3):
+        rows[i] = list(rows[100])  # ties
+    rows |= {400: [1.0, 2.0], 401: [3.0, 1.0], 402: [1e-320] * 6, 403: [1e150, 0.0, 0.0, 0.0, 0.0, -1e150]}
+    bad = [(500, None), (501, []), (502, [0.0] * 6), (503, [1.0, None, 1.0, 1.0, 1.0, 1.0]), (504, [float("nan")] * 6), (505, [float("inf")] * 6), (None, [1.0] * 6)]
+    table = [(i, [float(x) for x in v]) for i, v in rows.items()] + bad + [(9, rows[9]), (9, [99.0] * 6)]
+    rows[9] = min(rows[9], [99.0] * 6)
+    vectors = usable_vectors(spark.createDataFrame([(i, v, "x") for i, v in table], "vec_id long, embedding array<double>, rank string"))
+    got = nearest_neighbours(vectors.where("vec_id % 20 = 0"), vectors, 5).collect()
+    assert sorted(tuple(r) for r in got) == brute(rows, [i for i in rows if i % 20 == 0], 5)
+
+
+def test_fewer_candidates_and_empty_tables(spark):
+    vectors = usable_vectors(spark.createDataFrame([(20, [1.0, 0.0]), (3, [0.5, 1.0])], "vec_id long, embedding array<double>"))
+    assert [tuple(r) for r in nearest_neighbours(vectors.where("vec_id = 20"), vectors, 20).collect()] == [(20, 1, 3, 0.5)]
+    assert nearest_neighbours(vectors.limit(0), vectors.limit(0), 20).count() == 0
+    assert search_cell.__doc__
