@@ -5,10 +5,17 @@ import random
 from plumbline.llm.neighbours import nearest_neighbours, search_cell, usable_vectors
 
 
+def product(a, b):
+    total = 0.0
+    for x, y in zip(a, b, strict=True):  # sum() would correct its rounding
+        total += x * y
+    return total
+
+
 def brute(rows, queries, k):
     out = []
     for q in queries:
-        scored = [(-sum(a * b for a, b in zip(rows[q], v, strict=True)), i) for i, v in rows.items() if i != q and len(v) == len(rows[q])]
+        scored = [(-product(rows[q], v), i) for i, v in rows.items() if i != q and len(v) == len(rows[q])]
         out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k], 1)]
     return sorted(out)
 
