@@ -8,7 +8,6 @@ table with its turns as columns, and a document is a column of the table of its
 from __future__ import annotations
 
 import importlib
-import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
@@ -27,17 +26,28 @@ from plumbline.functions.names import (
 )
 from plumbline.functions.text import clean_description as clean
 from plumbline.operators.checks import completeness, freshness, uniqueness
-from plumbline.operators.coverage import catalog_objects, count_items, coverage, worklist
+from plumbline.operators.coverage import catalog_objects, count_items, count_objects, coverage, worklist
 from plumbline.operators.merge import merge_descriptions, publishable
 from plumbline.operators.report import report_summary as summarize
 from plumbline.operators.report import top_findings
 from plumbline.operators.suggest import candidate_evidence as evidence_of
+from plumbline.operators.suggest import suggest_checks as suggest_from
 from plumbline.plans.config import generate_checks
 from plumbline.plans.documentation import refresh_documentation
 from plumbline.plans.quality import run_and_log, run_checks
 from plumbline.sources.catalog import catalog_of
 from plumbline.sources.configs import config_from_entries, read_config, write_config
-from plumbline.sources.descriptions import flatten_entries, nest_entries, read_entries, write_entries
+from plumbline.sources.descriptions import (
+    document_entries,
+    entry_pos,
+    flatten_entries,
+    latest_descriptions,
+    nest_entries,
+    read_document,
+    read_entries,
+    write_document,
+    write_entries,
+)
 from plumbline.sources.tables import frames, parquet_tables
 
 TABLES = (
@@ -58,9 +68,9 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def _shared_folder(spark: SparkSession) -> str:
-    """A new folder below the one that the cluster names for shared files."""
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
-    return f"{shared}/plumbline-{uuid.uuid4()}"
+    """A new folder below the one that the cluster names for shared files, else below the session's data."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return f"{shared.rstrip('/')}/plumbline-{uuid.uuid4()}"
 
 
 def _union(*parts: DataFrame) -> DataFrame:
@@ -213,12 +223,26 @@ _ERRORS = [
     {"table": "web.events", "freshness_col": "event-time", "completeness_col": "a.b", "uniqueness_col": "1st"},
     {"table": "web.events", "freshness_col": "TS", "completeness_col": "EVENT_ID", "uniqueness_col": "Event_Type"},
     {"table": "sales.orders", "freshness_col": "o_orderstatus", "completeness_col": "o_totalprice"},
+    {"table": "web.broken", "freshness_col": "loaded_at", "uniqueness_col": "id"},
+    {"table": "web.twins", "freshness_col": "ts", "completeness_col": "id", "uniqueness_col": "ID"},
+    {"table": "web.typed", "completeness_col": "payload_id", "uniqueness_col": "payload_id"},
 ]
 
 
 def quality_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Missing tables and columns, bad names and other spellings next to checks that run."""
-    tables = parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")
+    """What can't be read, found, named without doubt or grouped, next to checks that run."""
+    parquet = parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")
+
+    def tables(schema: str, table: str) -> DataFrame:
+        events = parquet("web", "events")
+        if table == "broken":
+            raise RuntimeError("storage is away\nfor now")
+        if table == "twins":
+            return events.select("ts", F.col("event_id").alias("id"), F.col("user_id").alias("ID"))
+        if table == "typed":
+            return events.select(F.expr("IF(event_type = 'view', NULL, parse_json(string(event_id))) AS payload_id"))
+        return parquet(schema, table)
+
     return run_checks(spark, config_from_entries(spark, _ERRORS), tables, AS_OF).select(REPORT)
 
 
@@ -258,6 +282,22 @@ def quality_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path).groupBy(REPORT).agg(F.count_distinct("run_id").alias("runs"))
 
 
+_QUOTED = [{**e, "table": "`" + e["table"].replace(".", "`.")} for e in _QUALITY if "." in e["table"]]
+
+
+def log_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A quoted dataset name is logged plain, metadata goes with it, and a run without checks writes nothing."""
+    path = _shared_folder(spark)
+    tables = parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")
+    nothing = run_and_log(spark, config_from_entries(spark, [{"table": "text.conversations"}]), tables, path=path, as_of=AS_OF)
+    run_id = run_and_log(spark, config_from_entries(spark, _QUOTED), tables, path=path, as_of=AS_OF)
+    log = spark.read.parquet(path).where((F.col("run_id") == run_id) & F.lit(nothing is None))
+    value = F.from_json("metadata", "metric double, rows long, as_of string, reason string")
+    return log.select("pos", "check_pos", "dataset_name", "column_name", F.col("run_at").isNotNull().alias("timed"), value.alias("v")).select(
+        "pos", "check_pos", "dataset_name", "column_name", "timed", "v.*"
+    )
+
+
 # --------------------------------------------------------------------------- check suggestion
 
 
@@ -281,6 +321,35 @@ def suggest_excluding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return generate_checks(spark, _lake(spark, sf_dir), exclude=split_patterns("Item, events,"))
 
 
+def _named_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as columns whose names suggest a key, a time or nothing, by their role."""
+    name = F.expr("CASE data_type WHEN 'user' THEN 'user_id_' WHEN 'assistant' THEN 'Updated_' ELSE 'note_' END")
+    return _turns(spark, sf_dir).withColumn("column", F.concat(name, F.col("ordinal").cast("string")))
+
+
+def suggest_given(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suggestions for every conversation, most of columns that it doesn't have; some tables keep a bare entry."""
+    turns = _named_turns(spark, sf_dir).where("data_type <> 'user' OR table_pos % 2 = 0")
+    suggestions = turns.select("schema", "table").distinct().select(
+        "schema", "table", F.lit("note_1").alias("freshness_col"), F.lit("Updated_4").alias("completeness_col")
+    )
+    return suggest_from(turns, suggestions)
+
+
+def suggest_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields of structs are listed, but are no evidence; a table whose columns suggest nothing keeps a bare entry."""
+    orders, nation = _read(spark, sf_dir, "orders"), _read(spark, sf_dir, "nation")
+    tables = {
+        ("lake", "bare"): _read(spark, sf_dir, "region").select(F.col("r_name").alias("name")),
+        ("lake", "nested"): nation.select(F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").alias("id")).alias("attributes")),
+        ("lake", "orders"): orders.select(
+            F.struct(F.col("o_orderdate").alias("created")).alias("times"), "o_custkey", F.expr("nullif(o_orderkey, 1) AS half_key"),
+            F.col("o_orderkey").alias("pk"),
+        ),
+    }
+    return generate_checks(spark, tables)
+
+
 _EXISTING = [
     {"table": "lake.orders", "freshness_col": "order_date", "completeness_col": "o_custkey"},
     {"table": "lake.orders", "completeness_col": "o_orderkey"},
@@ -316,6 +385,7 @@ def _turns(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("turn_"), F.col("turn").cast("string")).alias("column"),
         F.col("role").alias("data_type"),
         F.col("text").alias("description"),
+        entry_pos(F.lit(0), F.col("conv_id")),
     )
 
 
@@ -333,6 +403,7 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("description"),
         F.lit("text").alias("data_type"),
         "doc_id",
+        entry_pos(F.lit(1), F.lit(0)),
     )
 
 
@@ -348,7 +419,7 @@ def doc_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def doc_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables with a document labeled toxic are replaced by just those documents."""
-    stored = _documents(spark, sf_dir)
+    stored = _documents(spark, sf_dir).drop("entry_pos")
     toxic = _read(spark, sf_dir, "labels").where("toxic = 1")
     now = stored.join(toxic, "doc_id", "left_semi").drop("doc_id")
     return merge_descriptions(stored.drop("doc_id"), now)
@@ -360,7 +431,7 @@ def doc_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = _turns(spark, sf_dir)
     tables = catalog_objects(turns).where("column IS NULL")
     described = tables.withColumn("description", F.concat(F.lit("Turns of "), "table"))
-    write_entries(nest_entries(_union(described, turns.drop("table_pos"))), path)
+    write_entries(nest_entries(_union(described, turns.drop("table_pos", "entry_pos"))), path)
     return flatten_entries(read_entries(spark, path))
 
 
@@ -371,12 +442,88 @@ def doc_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 def doc_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User turns keep their stored text, other objects take cleaned answers, documents stay."""
     turns = _turns(spark, sf_dir)
-    columns = ["schema", "table", "column", "ordinal", "description", "data_type"]
+    columns = [*DESCRIPTION, "entry_pos"]
     stored = _union(turns.where(F.col("data_type") == "user").select(columns), _documents(spark, sf_dir).select(columns))
     raw = F.concat(F.lit("**Answer:** "), F.col("description"))
     table_answer = catalog_objects(turns).where("column IS NULL").withColumn("description", F.lit("# Chat\nOne chat."))
+    table_answer = table_answer.withColumn("entry_pos", entry_pos(F.lit(0), F.lit(0)))
     answers = _union(turns.select(columns).withColumn("description", raw), table_answer)
-    return refresh_documentation(turns, stored, answers)
+    return refresh_documentation(turns, stored, answers).select(DESCRIPTION)
+
+
+def doc_items_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns with gaps in their ordinals, in tables too wide for one row."""
+    return count_objects(_documents(spark, sf_dir))
+
+
+def doc_worklist_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With ``overwrite`` every object is asked for again."""
+    turns = _turns(spark, sf_dir)
+    return worklist(catalog_objects(turns), turns, overwrite=True)
+
+
+def doc_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nested document per conversation with a column per turn, named by its role: of equal names the last counts."""
+    turn = F.struct("turn", F.col("role").alias("name"), F.col("text").alias("description"), F.col("role").alias("data_type"))
+    chats = _read(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    columns = F.transform("turns", lambda t: F.struct(t["name"], t["description"], t["data_type"]))
+    table = F.struct(F.lit("raw.chat.turns").alias("name"), F.lit("A chat.").alias("description"), columns.alias("columns"))
+    source = F.struct(F.lit("").alias("name"), F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("schema"), F.array(table).alias("tables"))
+    documents = chats.select(F.lit(2).alias("version"), F.array(source).alias("sources"))
+    return latest_descriptions(flatten_entries(document_entries(documents))).select(DESCRIPTION)
+
+
+def _roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Turns as descriptions of their role in the conversation, so that keys repeat; later turns stand further down."""
+    return _turns(spark, sf_dir).select(
+        "schema", "table", F.col("data_type").alias("column"), F.lit(1).cast("long").alias("ordinal"), "description",
+        F.lit("text").alias("data_type"), entry_pos(F.lit(0), F.col("ordinal")), "table_pos",
+    )
+
+
+def doc_repeated_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    roles = _roles(spark, sf_dir)
+    catalog = roles.select("schema", "table", "table_pos", "column", "ordinal", "data_type").distinct()
+    return coverage(catalog_objects(catalog), roles.where("column <> 'system'"))
+
+
+def doc_repeated_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stored text of a role stays, else its last answer is taken, and no object comes twice."""
+    roles = _roles(spark, sf_dir)
+    catalog = roles.select("schema", "table", "table_pos", "column", "ordinal", "data_type").distinct()
+    stored = roles.where("column = 'user'").drop("table_pos")
+    return refresh_documentation(catalog, stored, roles.drop("table_pos")).select(DESCRIPTION)
+
+
+def doc_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merged document per conversation, with a table per role, written and read back in order."""
+    path = _shared_folder(spark)
+    turns = _read(spark, sf_dir, "conversations").select(
+        F.concat(F.lit("conv_"), F.col("conv_id").cast("string")).alias("schema"), F.col("role").alias("table"),
+        F.expr("CASE role WHEN 'assistant' THEN 0 WHEN 'system' THEN 1 ELSE 2 END").alias("table_pos"),
+        F.concat(F.lit("turn_"), F.col("turn").cast("string")).alias("column"), ((F.col("turn") + 1) * 3000).alias("ordinal"),
+        F.col("text").alias("description"), F.col("role").alias("data_type"), entry_pos(F.lit(0), F.lit(0)),
+    )
+    merged = refresh_documentation(turns, turns.where("table = 'user'").drop("table_pos"), turns.drop("table_pos"))
+    write_document(merged, path)
+    back = flatten_entries(document_entries(read_document(spark, path, lines=True)))
+    return back.select(*DESCRIPTION, "entry_pos.table_pos")
+
+
+DESCRIPTION = ["schema", "table", "column", "ordinal", "description", "data_type"]
+
+
+def push_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Descriptions that are empty, missing or error messages are held back."""
+    text = (
+        "CASE event_type WHEN 'error' THEN 'ERROR: no key' WHEN 'view' THEN '' WHEN 'click' THEN NULL "
+        "WHEN 'signup' THEN 'Connection Error: ' || user_id ELSE 'An ERROR: told by ' || user_id END"
+    )
+    described = _read(spark, sf_dir, "events").select(
+        F.lit("web").alias("schema"), F.lit("a.b.events").alias("table"), F.concat(F.lit("event_"), F.col("event_id").cast("string")).alias("column"),
+        F.expr(text).alias("description"),
+    )
+    return publishable(described)
 
 
 def push_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -491,6 +638,13 @@ def _errors_sql() -> str:
         _uniqueness_sql("events", "Event_Type", identity=ids[3][2]),
         _known("Freshness", "o_orderstatus", *veto, ids[4][0]),
         _completeness_sql("orders", "o_totalprice", identity=ids[4][1]),
+        _known("Freshness", "loaded_at", "Err: storage is away", "❌", ids[5][0]),
+        _known("Uniqueness", "id", "SQL Error", "Failed", ids[5][2]),
+        _freshness_sql("events", "ts", identity=ids[6][0]),
+        _known("Completeness", "id", "SQL Error", "Failed", ids[6][1]),
+        _known("Uniqueness", "ID", "SQL Error", "Failed", ids[6][2]),
+        _completeness_sql("events", "payload_id", "nullif(event_type, 'view')", ids[7][1]),
+        _known("Uniqueness", "payload_id", "SQL Error", "Failed", ids[7][2]),
     ])
 
 
@@ -531,6 +685,7 @@ _POSITIONS = ", ".join(f"('{t}', {i})" for i, t in enumerate(TABLES))
 
 
 def _gate_sql() -> str:
+    # The identifier pattern and the word lists.
     measured = _union_sql([
         f"SELECT 'lake.{t}' AS table_name, column_name, result_value, status, severity, metric "
         f"FROM ({_freshness_sql(t, c)})"
@@ -561,6 +716,7 @@ def _gate_sql() -> str:
     FROM gated g LEFT JOIN measured m ON m.table_name = 'lake.' || g.t AND m.column_name = g.c"""
 
 
+# The identifier pattern and the word lists.
 _NAMES_SQL = r"""
     WITH names AS (SELECT word, lower(word) AS w, count(*) AS n
                    FROM (SELECT unnest(regexp_split_to_array(text, '\s+')) AS word FROM documents) GROUP BY ALL)
@@ -602,7 +758,7 @@ def _evidence_sql() -> str:
            CASE WHEN i.d LIKE 'TIMESTAMP%' THEN 'timestamp_ntz' WHEN i.d = 'BIGINT' THEN 'bigint' ELSE 'int' END
              AS data_type, e.kind, e.n_rows, e.nulls, e.surplus,
            CASE e.kind WHEN 'freshness' THEN e.nulls < e.n_rows
-                ELSE e.n_rows > 0 AND e.nulls = 0 AND e.surplus = 0 END AS usable
+                ELSE e.n_rows > 0 AND e.nulls = 0 AND e.surplus = 0 END AS usable, NULL::VARCHAR AS reason
     FROM ({_union_sql(parts)}) e JOIN (VALUES {_POSITIONS}) AS p(t, i) ON e.t = p.t
     JOIN (SELECT DISTINCT table_name AS t, column_name AS c, ordinal_position AS o, data_type AS d
           FROM information_schema.columns) i ON i.t = e.t AND i.c = e.c"""
@@ -614,6 +770,7 @@ def _suggest_sql(where: str = "TRUE") -> str:
     usable AS (SELECT "table" AS t, min_by("column", ordinal) FILTER (WHERE usable AND kind = 'freshness') AS f,
                       min_by("column", ordinal) FILTER (WHERE usable AND kind = 'completeness') AS k
                FROM evidence GROUP BY ALL),
+    -- Fixed values: the word lists.
     listed AS (
       SELECT DISTINCT c.table_name AS t, p.i, c.ordinal_position AS o, CASE c.column_name WHEN 'ts' THEN 'event_ts'
              WHEN 'o_orderdate' THEN 'order_date' ELSE c.column_name END AS c
@@ -670,15 +827,77 @@ def _refresh_sql() -> str:
     UNION ALL SELECT schema, "table", "column", ordinal, data_type, description FROM ({_DOCUMENTS_SQL})"""
 
 
-_WORKLIST_SQL = f"""
+# The wording of the prompt.
+_ASKED_SQL = f"""
     SELECT schema, "table", "column", ordinal, item_type,
            'Write a single, concise 1-sentence business description for the ' || item_type || ' '''
            || coalesce("column", "table") || '''. Context: '
            || CASE item_type WHEN 'table' THEN '' ELSE 'Table: ' || "table" END
            || '. Rules: Return ONLY the description text. Do NOT use Markdown, headers, or labels like ''Description:''.'
            AS prompt
-    FROM (SELECT *, CASE WHEN "column" IS NULL THEN 'table' ELSE 'column' END AS item_type FROM ({_OBJECTS_SQL}))
-    WHERE data_type IS DISTINCT FROM 'assistant' OR description = ''"""
+    FROM (SELECT *, CASE WHEN "column" IS NULL THEN 'table' ELSE 'column' END AS item_type FROM ({_OBJECTS_SQL}))"""
+_WORKLIST_SQL = f"{_ASKED_SQL} WHERE data_type IS DISTINCT FROM 'assistant' OR description = ''"
+
+_GIVEN_SQL = """
+    WITH named AS (
+      SELECT 'conv_' || conv_id AS t, conv_id, turn + 1 AS o, role,
+             CASE role WHEN 'user' THEN 'user_id_' WHEN 'assistant' THEN 'Updated_' ELSE 'note_' END || (turn + 1) AS c
+      FROM conversations WHERE role <> 'user' OR conv_id % 2 = 0)
+    SELECT conv_id AS pos, 'chat.' || t AS "table",
+           coalesce(max(c) FILTER (WHERE c = 'note_1'), min_by(c, o) FILTER (WHERE contains(lower(c), 'updated'))) AS freshness_col,
+           coalesce(max(c) FILTER (WHERE c = 'Updated_4'), min_by(c, o) FILTER (WHERE contains(lower(c), 'id'))) AS completeness_col
+    FROM named GROUP BY conv_id, t"""
+
+_NESTED_SQL = """
+    WITH turns AS (SELECT conv_id, role, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS o FROM conversations)
+    SELECT 'conv_' || conv_id AS schema, 'turns' AS "table", role AS "column", max(o) AS ordinal,
+           max_by(text, o) AS description, role AS data_type FROM turns GROUP BY conv_id, role
+    UNION ALL SELECT DISTINCT 'conv_' || conv_id, 'turns', NULL, 0::BIGINT, 'A chat.', NULL FROM conversations"""
+
+_ROLES_SQL = """SELECT conv_id, role, max_by(text, turn) AS text FROM conversations GROUP BY conv_id, role"""
+
+
+def _repeated_refresh_sql() -> str:
+    return f"""
+    SELECT 'chat' AS schema, 'conv_' || conv_id AS "table", role AS "column", 1::BIGINT AS ordinal,
+           CASE WHEN role = 'user' AND text <> '' THEN text ELSE {_clean_sql('text')} END AS description, 'text' AS data_type
+    FROM ({_ROLES_SQL})
+    UNION ALL SELECT DISTINCT 'chat', 'conv_' || conv_id, NULL, 0::BIGINT, NULL, NULL FROM conversations"""
+
+
+def _written_sql() -> str:
+    return f"""
+    WITH turns AS (
+      SELECT conv_id, role, turn, text, row_number() OVER (PARTITION BY conv_id, role ORDER BY turn) AS o,
+             CASE role WHEN 'user' THEN 0 WHEN 'assistant' THEN 1 ELSE 2 END AS place FROM conversations),
+    placed AS (SELECT conv_id, role, row_number() OVER (PARTITION BY conv_id ORDER BY place) - 1 AS table_pos
+               FROM (SELECT DISTINCT conv_id, role, place FROM turns))
+    SELECT 'conv_' || conv_id AS schema, role AS "table", 'turn_' || turn AS "column", o AS ordinal,
+           CASE WHEN role = 'user' AND text <> '' THEN text ELSE {_clean_sql('text')} END AS description, role AS data_type, table_pos
+    FROM turns JOIN placed USING (conv_id, role)
+    UNION ALL SELECT 'conv_' || conv_id, role, NULL, 0::BIGINT, NULL, NULL, table_pos FROM placed"""
+
+
+def _metadata_sql() -> str:
+    kept = [e for e in _QUALITY if "." in e["table"]]
+    parts = []
+    for pos, entry in enumerate(kept):
+        dataset, _, table = entry["table"].partition(".")
+        for check_pos, kind in enumerate(("freshness_col", "completeness_col", "uniqueness_col")):
+            if kind not in entry:
+                continue
+            c = entry[kind]
+            what = f"SELECT {pos}::BIGINT AS pos, {check_pos}::INTEGER AS check_pos, '{dataset}' AS dataset_name, '{c}' AS column_name, true AS timed, "
+            if c == "p_size":
+                parts.append(f"{what} NULL::DOUBLE AS metric, NULL::BIGINT AS rows, NULL AS as_of, 'neither type nor name is temporal' AS reason")
+                continue
+            metric = {
+                0: f"epoch_us(TIMESTAMP '{AS_OF}' - max({c})::TIMESTAMP) / 3600000000.0",
+                1: f"count(*) - count({c})",
+                2: f"count({c}) - count(DISTINCT {c})",
+            }[check_pos]
+            parts.append(f"{what} ({metric})::DOUBLE AS metric, count(*) AS rows, '{AS_OF}' AS as_of, NULL AS reason FROM {table}")
+    return _union_sql(parts)
 
 _MERGE_SQL = f"""
     WITH stored AS ({_DOCUMENTS_SQL}),
@@ -713,8 +932,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         completeness_orders, completeness_failing, uniqueness_keys, uniqueness_ignores_null,
         freshness_events, freshness_old, freshness_future, freshness_date, freshness_zoned, freshness_string,
         freshness_empty, freshness_gate, name_rules, quality_report, quality_errors, report_summary, report_top10,
-        quality_log_roundtrip, candidate_evidence, suggest_checks, suggest_excluding, checks_append,
+        quality_log_roundtrip, log_metadata, candidate_evidence, suggest_checks, suggest_excluding, suggest_given,
+        suggest_nested, checks_append,
         clean_description, doc_coverage, doc_worklist, doc_merge, doc_flatten, doc_items, doc_refresh, push_changes,
+        doc_items_documents, doc_worklist_overwrite, doc_nested, doc_repeated_coverage, doc_repeated_refresh, doc_written,
+        push_errors,
     )
     return {query.__name__: query for query in registered} | _training_data()[0]
 
@@ -782,6 +1004,27 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(DISTINCT conv_id) AS tables, count(*) AS columns, count(DISTINCT conv_id) + count(*) AS items
             FROM conversations""",
         "doc_refresh": _refresh_sql(),
+        "log_metadata": _metadata_sql(),
+        "suggest_given": _GIVEN_SQL,
+        "suggest_nested": """
+            SELECT * FROM (VALUES (0::BIGINT, 'lake.bare', NULL, NULL), (1, 'lake.nested', NULL, 'attributes.id'),
+                                  (2, 'lake.orders', 'times.created', 'pk')) x(pos, "table", freshness_col, completeness_col)
+            WHERE (SELECT count(o_orderkey) = count(DISTINCT o_orderkey) FROM orders)""",
+        "doc_items_documents": """
+            SELECT count(DISTINCT (source, lang)) AS tables, count(*) AS columns, count(DISTINCT (source, lang)) + count(*) AS items
+            FROM documents""",
+        "doc_worklist_overwrite": _ASKED_SQL,
+        "doc_nested": _NESTED_SQL,
+        "doc_repeated_coverage": f"""
+            SELECT 'chat' AS schema, 'conv_' || conv_id AS "table", 1 + count(*) AS objects,
+                   count(*) FILTER (WHERE role <> 'system' AND text <> '') AS documented,
+                   count(*) FILTER (WHERE role <> 'system' AND text <> '')::DOUBLE / (1 + count(*)) AS ratio
+            FROM ({_ROLES_SQL}) GROUP BY conv_id""",
+        "doc_repeated_refresh": _repeated_refresh_sql(),
+        "doc_written": _written_sql(),
+        "push_errors": """
+            SELECT 'web' AS schema, 'events' AS "table", 'event_' || event_id AS "column", 'An ERROR: told by ' || user_id AS description
+            FROM events WHERE event_type NOT IN ('error', 'view', 'click', 'signup')""",
         "push_changes": """
             SELECT 'web' AS schema, 'user_' || user_id AS "table", 'event_' || event_id AS "column",
                    upper(event_type[1]) || event_type[2:] || ' by user ' || user_id AS description

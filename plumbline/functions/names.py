@@ -38,6 +38,16 @@ def is_vetoed_name(name: Column) -> Column:
     return F.lower(name).contains(VETO_TERM)
 
 
+def name_flags(name: str) -> dict[str, bool]:
+    """The same rules for one name: whether it is valid, sounds temporal, and is vetoed for freshness."""
+    lower = name.lower()
+    return {
+        "valid_name": re.fullmatch(VALID_NAME, name) is not None,
+        "temporal_name": any(t in lower for t in TEMPORAL_TERMS),
+        "vetoed_name": VETO_TERM in lower,
+    }
+
+
 def is_temporal_type(data_type: Column) -> Column:
     """Type text of the column itself; a timestamp nested in a struct does not count."""
     return data_type.isin(TEMPORAL_TYPES)

@@ -2,25 +2,34 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import asdict, dataclass
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from plumbline.functions.ages import Clock, hours_between, iso_age_hours, iso_spelling
-from plumbline.functions.literals import literal_rows
-from plumbline.functions.names import TEMPORAL_TYPES
+from plumbline.functions.literals import literal_rows, local_rows
+from plumbline.functions.names import TEMPORAL_TYPES, name_flags
 from plumbline.functions.outcomes import (
+    BAD_NAME,
+    ERROR,
+    ERROR_TEXT_LENGTH,
+    FAILED,
+    NOT_TEMPORAL,
+    SQL_ERROR,
+    WARNING,
     completeness_outcome,
     freshness_outcome,
     not_a_time_outcome,
     severity,
     uniqueness_outcome,
 )
-from plumbline.operators.keys import key_profiles
+from plumbline.operators.keys import grouping_key, key_profiles
 
 FRESHNESS = "Freshness"
 COMPLETENESS = "Completeness"
@@ -50,6 +59,63 @@ class Check:
     data_type: str
 
 
+def finding(check: Check, value: str, status: str, reason: str) -> dict:
+    """A result row that is known without a scan."""
+    identity = {k: v for k, v in asdict(check).items() if k not in ("field", "data_type")}
+    return identity | {
+        "result_value": value,
+        "status": status,
+        "severity": "WARN" if status == WARNING else "FAIL",
+        "metric": None,
+        "metadata": json.dumps({"reason": reason}),
+    }
+
+
+def error_finding(check: Check, reason: str) -> dict:
+    if check.check_type == FRESHNESS:
+        return finding(check, f"Err: {reason[:ERROR_TEXT_LENGTH]}", ERROR, reason)
+    return finding(check, SQL_ERROR, FAILED, reason)
+
+
+def first_line(error: BaseException) -> str:
+    return str(error).split("\n")[0]
+
+
+def _field_name(df: DataFrame, column: str) -> str | None:
+    """The table's spelling of a column, by the session's case rule."""
+    if column in df.columns:
+        return column
+    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
+        return None
+    return next((name for name in df.columns if name.lower() == column.lower()), None)
+
+
+def screen(check: Check, df: DataFrame | str, valid_name: bool, temporal_name: bool, vetoed_name: bool) -> Check | dict:
+    """The check with its field and type, or the result row if it can't or need not run.
+
+    ``df`` is the table, or the reason why there is none. A column that can't be named without doubt, or whose type can't
+    be grouped for uniqueness, is found by planning the expression; nothing is read.
+    """
+    if not valid_name:
+        return finding(check, BAD_NAME, WARNING, "not a plain column name")
+    if isinstance(df, str):
+        return error_finding(check, df)
+    field = _field_name(df, check.column_name)
+    if field is None:
+        return error_finding(check, f"missing column {check.column_name}")
+    data_type = df.schema[field].dataType.simpleString()
+    if check.check_type == FRESHNESS and (vetoed_name or not (data_type in TEMPORAL_TYPES or temporal_name)):
+        return finding(check, NOT_TEMPORAL, WARNING, "neither type nor name is temporal")
+    try:
+        if check.check_type == UNIQUENESS:
+            df.groupBy(grouping_key(field, df.schema[field].dataType)).count()
+        else:
+            df.select(F.col(f"`{field}`"))
+    except AnalysisException as error:
+        return error_finding(check, first_line(error))
+    return replace(check, field=field, data_type=data_type)
+
+
 def _measure(
     number: int | str, amount: str = "0L", instant: str = "NULL", wall: str = "NULL", text: str = "NULL"
 ) -> list[str]:
@@ -92,16 +158,34 @@ def scan_measures(df: DataFrame, checks: Sequence[tuple[int, Check]]) -> DataFra
 
 
 def measure_frames(tables: Sequence[tuple[DataFrame, Sequence[tuple[int, Check]]]]) -> list[DataFrame]:
-    """Measures of numbered checks: a frame per scanned table and one for all uniqueness checks."""
+    """Measures of numbered checks: a frame per scanned table and one for all uniqueness checks.
+
+    A column that is checked for uniqueness is grouped once, which also counts its nulls: a completeness check of it needs no
+    scan of its own.
+    """
     frames = []
-    keys = []
+    keys: list[tuple[int, DataFrame, str]] = []
+    amounts: list[str] = []
     for df, checks in tables:
-        scanned = [(n, c) for n, c in checks if c.check_type != UNIQUENESS]
+        grouped: dict[str, int] = {}
+        for number, check in checks:
+            if check.check_type == UNIQUENESS and check.field not in grouped:
+                grouped[check.field] = number
+                keys.append((number, df, check.field))
+        scanned = []
+        for number, check in checks:
+            if check.check_type == FRESHNESS or check.field not in grouped:
+                scanned.append((number, check))
+            else:
+                amount = "surplus" if check.check_type == UNIQUENESS else "nulls"
+                amounts.append(f"struct({grouped[check.field]} AS profile, {number} AS check_number, '{amount}' AS amount)")
         if scanned:
             frames.append(scan_measures(df, scanned))
-        keys += [(n, df, c.field) for n, c in checks if c.check_type == UNIQUENESS]
     if keys:
-        frames.append(key_profiles(keys).selectExpr(*_measure("number", amount="surplus")))
+        wanted = f"filter(array({', '.join(amounts)}), a -> a.profile = number)"
+        profiles = key_profiles(keys).selectExpr("n_rows", "nulls", "surplus", f"explode({wanted}) AS wanted")
+        amount = "IF(wanted.amount = 'nulls', nulls, surplus)"
+        frames.append(profiles.selectExpr(*_measure("wanted.check_number", amount=amount)))
     return frames
 
 
@@ -143,24 +227,29 @@ def label_measures(measures: DataFrame, checks: Sequence[Check], clock: Clock) -
 
 
 def _check_columns(df: DataFrame, kind: str, columns: Sequence[str], clock: Clock, table_name: str) -> DataFrame:
-    checks = [
-        Check(i, 0, "", table_name, name, kind, name, df.schema[name].dataType.simpleString())
-        for i, name in enumerate(columns)
-    ]
-    measures = reduce(DataFrame.union, measure_frames([(df, list(enumerate(checks)))]))
-    return label_measures(measures, checks, clock)
+    asked = [Check(i, 0, "", table_name, name, kind, "", "") for i, name in enumerate(columns)]
+    screened = [screen(check, df, **name_flags(check.column_name)) for check in asked]
+    known = local_rows(df.sparkSession, [s for s in screened if isinstance(s, dict)], RESULT_SCHEMA)
+    checks = [s for s in screened if isinstance(s, Check)]
+    if not checks:
+        return known
+    measured = label_measures(reduce(DataFrame.union, measure_frames([(df, list(enumerate(checks)))])), checks, clock)
+    return measured.unionByName(known) if len(checks) < len(asked) else measured
 
 
 def completeness(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:
-    """Null counts of columns as result rows, from one scan."""
+    """Null counts of columns as result rows, from one scan.
+
+    Names and types are screened as in a configured run: columns that aren't checked get the same rows as there.
+    """
     return _check_columns(df, COMPLETENESS, columns, Clock(), table_name)
 
 
 def uniqueness(df: DataFrame, columns: Sequence[str], table_name: str = "") -> DataFrame:
-    """Surplus non-null rows of columns as result rows."""
+    """Surplus non-null rows of columns as result rows; screened likewise."""
     return _check_columns(df, UNIQUENESS, columns, Clock(), table_name)
 
 
 def freshness(df: DataFrame, columns: Sequence[str], clock: Clock = Clock(), table_name: str = "") -> DataFrame:
-    """Ages of the newest values of columns as result rows, from one scan."""
+    """Ages of the newest values of columns as result rows, from one scan; screened likewise."""
     return _check_columns(df, FRESHNESS, columns, clock, table_name)

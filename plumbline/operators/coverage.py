@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.functions.text import description_prompt
+from plumbline.sources.descriptions import latest_descriptions
 
 _TABLE = ["schema", "table"]
 
@@ -34,14 +35,20 @@ def _has_description(description: Column) -> Column:
 
 
 def with_descriptions(objects: DataFrame, descriptions: DataFrame, name: str = "description") -> DataFrame:
-    """Each object with its description, null where there is none. Keys of ``descriptions`` are unique."""
-    left, right = objects.alias("object"), descriptions.select(*_TABLE, "column", F.col("description").alias(name))
+    """Each object once, with its last description by ``entry_pos``; null where there is none."""
+    left, latest = objects.alias("object"), latest_descriptions(descriptions)
+    right = latest.select(*_TABLE, "column", F.col("description").alias(name))
     return left.join(right, _same_object(left, right), "left").select("object.*", right[name])
 
 
+def _documented(descriptions: DataFrame) -> DataFrame:
+    """The objects that have a non-empty description, each once."""
+    return descriptions.where(_has_description(F.col("description"))).select(*_TABLE, "column").distinct()
+
+
 def undocumented(objects: DataFrame, descriptions: DataFrame) -> DataFrame:
     """Objects without a non-empty description."""
-    documented = descriptions.where(_has_description(F.col("description")))
+    documented = _documented(descriptions)
     return objects.join(documented, _same_object(objects, documented), "left_anti")
 
 
@@ -50,9 +57,7 @@ def coverage(objects: DataFrame, descriptions: DataFrame) -> DataFrame:
 
     Only the keys of the non-empty descriptions take part in the join, never their text.
     """
-    documented = descriptions.where(_has_description(F.col("description"))).select(
-        *_TABLE, "column", F.lit(True).alias("is_documented")
-    )
+    documented = _documented(descriptions).withColumn("is_documented", F.lit(True))
     return (
         objects.join(documented, _same_object(objects, documented), "left")
         .groupBy(*(objects[c] for c in _TABLE))
@@ -74,9 +79,19 @@ def worklist(objects: DataFrame, descriptions: DataFrame, overwrite: bool | None
     return needed.select(*_TABLE, "column", "ordinal", item_type.alias("item_type"), prompt.alias("prompt"))
 
 
+def _with_items(counted: DataFrame) -> DataFrame:
+    return counted.withColumn("items", F.col("tables") + F.col("columns"))
+
+
 def count_items(entries: DataFrame) -> DataFrame:
-    """Tables and columns of a description document, counted without unnesting it."""
-    return entries.agg(
-        F.coalesce(F.count_if(F.col("part") == 0), F.lit(0)).alias("tables"),
-        F.coalesce(F.sum(F.size(F.coalesce("columns", F.array()))), F.lit(0)).cast("long").alias("columns"),
-    ).withColumn("items", F.col("tables") + F.col("columns"))
+    """Table entries and columns of description documents, counted without unnesting them."""
+    size = F.size(F.coalesce("columns", F.array()))
+    return _with_items(
+        entries.agg(F.count("*").alias("tables"), F.coalesce(F.sum(size), F.lit(0)).cast("long").alias("columns"))
+    )
+
+
+def count_objects(flat: DataFrame) -> DataFrame:
+    """The same of flat rows, whose tables may be of any size: tables with a row of their own or of a column, and columns."""
+    by_table = flat.groupBy(*_TABLE).agg(F.count("column").alias("n"))
+    return _with_items(by_table.agg(F.count("*").alias("tables"), F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("columns")))

@@ -7,18 +7,23 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DataType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DataType, FractionalType, IntegralType, StringType
 
 from plumbline.functions.literals import local_rows
 
 
 def grouping_key(name: str, data_type: DataType) -> Column:
-    """A key that is equal exactly when the values are, at most 32 bytes for text and binary.
+    """A key that is equal exactly when the values are, at most 32 bytes for text, binary and arrays of numbers.
 
     Long values are replaced by their SHA-256 digest, so a shuffle of whole documents moves
     32 bytes per value. Values shorter than a digest stay as they are; the two never meet,
     as only a digest has 32 bytes. Collated strings keep their own notion of equality.
     """
+    if isinstance(data_type, ArrayType) and isinstance(data_type.elementType, (IntegralType, FractionalType, BooleanType)):
+        # JSON keeps nulls, tells every number from every other and writes all NaN alike; adding 0 takes the sign off a zero.
+        plain = "x" if isinstance(data_type.elementType, BooleanType) else "x + 0"
+        json = f"to_json(struct(transform(`{name}`, x -> {plain}) AS a))"
+        return F.expr(f"IF(`{name}` IS NULL, NULL, unhex(sha2({json}, 256)))")
     if data_type not in (StringType(), BinaryType()):
         return F.col(f"`{name}`")
     as_bytes = f"CAST(`{name}` AS BINARY)"

@@ -10,20 +10,15 @@ from plumbline.functions.names import is_pushable, last_segment
 _TABLE = ["schema", "table"]
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Ask for a broadcast when counting shows that the rows are few; else leave it to Spark."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def merge_descriptions(stored: DataFrame, now: DataFrame, replaced: DataFrame | None = None) -> DataFrame:
     """Tables in ``now`` replace their stored rows whole; all other stored rows stay.
 
-    Only table names are matched, so a table with many rows on either side neither multiplies nor
-    gathers them, and their number is counted first: a few names are broadcast, and the stored
-    texts need no shuffle. ``replaced`` may name the tables when they are known more cheaply.
+    Only table names are matched, so a table with many rows on either side neither multiplies nor gathers them. How the
+    names travel is left to Spark, which knows their size at run time. ``replaced`` may name the tables when they are known
+    more cheaply.
     """
     names = (now if replaced is None else replaced).select(*_TABLE).distinct()
-    return stored.join(checked_broadcast(names), _TABLE, "left_anti").unionByName(now)
+    return stored.join(names, _TABLE, "left_anti").unionByName(now)
 
 
 def publishable(descriptions: DataFrame) -> DataFrame:

@@ -3,21 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
-from plumbline.functions.literals import literal_rows
+from plumbline.functions.literals import local_rows
 from plumbline.functions.names import (
+    TEMPORAL_TYPES,
     is_excluded,
-    is_temporal_type,
     is_valid_name,
     last_segment,
     suggests_completeness,
     suggests_freshness,
 )
-from plumbline.operators.keys import key_profiles
+from plumbline.operators.keys import grouping_key, key_profiles
+from plumbline.sources.tables import reraise_if_stopped, side_by_side
 
 _TABLE = ["schema", "table"]
 
@@ -71,9 +72,11 @@ def suggest_checks(catalog: DataFrame, suggestions: DataFrame | None = None) ->
     )
 
 
-_CANDIDATE = (
-    "schema string, table string, table_pos long, ordinal long, column string, data_type string, kind string"
+_EVIDENCE = (
+    "schema string, table string, table_pos long, ordinal long, column string, data_type string, kind string, "
+    "n_rows long, nulls long, surplus long, usable boolean, reason string"
 )
+_WHOLE = ("tinyint", "smallint", "int", "bigint")
 
 
 def candidate_columns(catalog: DataFrame) -> DataFrame:
@@ -89,43 +92,74 @@ def candidate_columns(catalog: DataFrame) -> DataFrame:
     )
 
 
-def candidate_evidence(catalog: DataFrame, tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
-    """What the data says about each candidate.
-
-    Null counts of a table's freshness candidates share a scan; a key candidate also gets its
-    surplus rows. Usable means: of a temporal type and not all null, or free of nulls and surplus.
+def _groupable(df: DataFrame, column: str) -> bool:
+    """Whether the column has one meaning and a type that Spark groups; planned, not run."""
+    try:
+        df.groupBy(grouping_key(column, df.schema[column].dataType)).count()
+    except AnalysisException:
+        return False
+    return True
+
+
+def _may_be_key(row: Row, number: int, data_type: str) -> bool:
+    """False where rows, nulls and the range of a whole-number column already tell that values repeat."""
+    if not row["n_rows"] or row[f"nulls_{number}"]:
+        return False
+    low, high = row[f"min_{number}"], row[f"max_{number}"]
+    return data_type not in _WHOLE or high - low + 1 >= row["n_rows"]
+
+
+def _evidence_of(df: DataFrame, candidates: Mapping[int, dict], exact: bool) -> list[dict]:
+    """Evidence of one table: one scan for counts and ranges, and one job that groups the columns that need it."""
+    totals = ["count(1) AS n_rows"]
+    for n, c in candidates.items():
+        totals.append(f"count_if(`{c['column']}` IS NULL) AS nulls_{n}")
+        ranged = c["kind"] != "freshness" and c["data_type"] in _WHOLE
+        totals += [f"{f}(`{c['column']}`) AS {f}_{n}" if ranged else f"NULL AS {f}_{n}" for f in ("min", "max")]
+    row = df.selectExpr(*totals).first()
+    keys = {n: c for n, c in candidates.items() if c["kind"] != "freshness"}
+    grouped = [(n, df, c["column"]) for n, c in keys.items() if exact or _may_be_key(row, n, c["data_type"])]
+    surplus = {r["number"]: r["surplus"] for r in key_profiles(grouped).collect()} if grouped else {}
+    found = []
+    for n, c in candidates.items():
+        n_rows, nulls = row["n_rows"], row[f"nulls_{n}"]
+        if c["kind"] == "freshness":
+            usable = c["data_type"] in TEMPORAL_TYPES and nulls < n_rows
+        else:
+            usable = n_rows > 0 and nulls == 0 and surplus.get(n) == 0
+        found.append(c | {"n_rows": n_rows, "nulls": nulls, "surplus": surplus.get(n), "usable": usable, "reason": None})
+    return found
+
+
+def candidate_evidence(
+    catalog: DataFrame, tables: Mapping[tuple[str, str], DataFrame], exact: bool = True, at_once: int = 8
+) -> DataFrame:
+    """What the data says about each candidate, one row each.
+
+    Usable means: of a temporal type and not all null, or free of nulls and surplus rows. Tables are measured side by side,
+    each by itself: one that fails has rows without counts and the ``reason``. Columns that can't be grouped are no key
+    candidates. Without ``exact``, key columns that nulls or the range of their whole numbers rule out are not grouped
+    and have no surplus count. One row per candidate passes through the driver, as the catalog does.
     """
-    candidates = [row.asDict() for row in candidate_columns(catalog).collect()]
-    candidates.sort(key=lambda c: (c["table_pos"], c["ordinal"], c["kind"]))
-    by_table: dict[tuple[str, str], list[int]] = {}
-    for number, candidate in enumerate(candidates):
-        by_table.setdefault((candidate["schema"], candidate["table"]), []).append(number)
-    measures: list[DataFrame] = []
-    keys: list[tuple[int, DataFrame, str]] = []
-    for key, numbers in by_table.items():
-        scanned = {n: candidates[n]["column"] for n in numbers if candidates[n]["kind"] == "freshness"}
-        if scanned:
-            counts = tables[key].selectExpr(
-                "count(1) AS n_rows", *(f"count_if(`{c}` IS NULL) AS nulls_{n}" for n, c in scanned.items())
-            )
-            structs = (f"struct({n} AS number, n_rows, nulls_{n} AS nulls, CAST(NULL AS LONG) AS surplus)" for n in scanned)
-            measures.append(counts.selectExpr(f"inline(array({', '.join(structs)}))"))
-        keys += [(n, tables[key], candidates[n]["column"]) for n in numbers if candidates[n]["kind"] == "completeness"]
-    if keys:
-        measures.append(key_profiles(keys))
-    if not measures:
-        return candidate_columns(catalog).selectExpr(
-            "*", "0L AS n_rows", "0L AS nulls", "CAST(NULL AS LONG) AS surplus", "false AS usable"
-        )
-    usable = F.when(
-        F.col("kind") == "freshness", is_temporal_type(F.col("data_type")) & (F.col("nulls") < F.col("n_rows"))
-    ).otherwise((F.col("n_rows") > 0) & (F.col("nulls") == 0) & (F.col("surplus") == 0))
-    candidate = F.get(literal_rows(candidates, _CANDIDATE), F.col("number"))
-    return (
-        reduce(DataFrame.union, measures)
-        .select(F.inline(F.array(candidate)), "n_rows", "nulls", "surplus")
-        .select("*", usable.alias("usable"))
-    )
+    spark = catalog.sparkSession
+    listed = [row.asDict() for row in candidate_columns(catalog).collect()]
+    listed.sort(key=lambda c: (c["table_pos"], c["ordinal"], c["kind"]))
+    by_table: dict[tuple[str, str], dict[int, dict]] = {}
+    for number, candidate in enumerate(listed):
+        key = candidate["schema"], candidate["table"]
+        if candidate["kind"] == "freshness" or _groupable(tables[key], candidate["column"]):
+            by_table.setdefault(key, {})[number] = candidate
+
+    def measure(key: tuple[str, str]) -> list[dict]:
+        try:
+            return _evidence_of(tables[key], by_table[key], exact)
+        except Exception as error:  # isolation boundary
+            reraise_if_stopped(spark, error)
+            none = {"n_rows": None, "nulls": None, "surplus": None, "usable": False, "reason": str(error).split("\n")[0]}
+            return [c | none for c in by_table[key].values()]
+
+    found = side_by_side(spark, measure, by_table, at_once)
+    return local_rows(spark, [row for rows in found.values() for row in rows], _EVIDENCE)
 
 
 def suggestions_from_evidence(evidence: DataFrame) -> DataFrame:

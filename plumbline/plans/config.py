@@ -25,11 +25,11 @@ def generate_checks(
 ) -> DataFrame:
     """Entries for every table that is not excluded, after the existing ones.
 
-    Without given suggestions the data is asked: the first temporal column and the first column
-    free of nulls and duplicates among those whose names make them candidates.
+    Without given suggestions the data is asked: the first temporal column and the first column free of nulls and
+    duplicates among those whose names make them candidates. A table whose data can't be read has its names alone.
     """
     catalog = exclude_tables(catalog_of(spark, tables), exclude)
     if suggestions is None:
-        suggestions = suggestions_from_evidence(candidate_evidence(catalog, tables))
+        suggestions = suggestions_from_evidence(candidate_evidence(catalog, tables, exact=False))
     generated = suggest_checks(catalog, suggestions)
     return generated if existing is None else append_config(existing, generated)

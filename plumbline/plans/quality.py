@@ -2,51 +2,18 @@
 
 from __future__ import annotations
 
-import json
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import asdict
 from datetime import datetime, timezone
 from functools import reduce
 
 import pyarrow as pa
-from pyspark import inheritable_thread_target
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from plumbline.functions.ages import Clock
 from plumbline.functions.literals import local_rows
-from plumbline.functions.names import TEMPORAL_TYPES
-from plumbline.functions.outcomes import BAD_NAME, ERROR, ERROR_TEXT_LENGTH, FAILED, NOT_TEMPORAL, SQL_ERROR, WARNING
-from plumbline.operators.checks import FRESHNESS, RESULT_SCHEMA, Check, label_measures, measure_frames
+from plumbline.operators.checks import RESULT_SCHEMA, Check, error_finding, first_line, label_measures, measure_frames, screen
 from plumbline.sources.configs import unpivot_checks
 from plumbline.sources.results_log import append_log, new_run_id, stamp_results
-from plumbline.sources.tables import Tables
-
-
-def _finding(check: Check, value: str, status: str, reason: str) -> dict:
-    identity = {k: v for k, v in asdict(check).items() if k not in ("field", "data_type")}
-    return identity | {
-        "result_value": value,
-        "status": status,
-        "severity": "WARN" if status == WARNING else "FAIL",
-        "metric": None,
-        "metadata": json.dumps({"reason": reason}),
-    }
-
-
-def _error(check: Check, reason: str) -> dict:
-    if check.check_type == FRESHNESS:
-        return _finding(check, f"Err: {reason[:ERROR_TEXT_LENGTH]}", ERROR, reason)
-    return _finding(check, SQL_ERROR, FAILED, reason)
-
-
-def _field_name(df: DataFrame, column: str) -> str | None:
-    """The table's spelling of a column, by the session's case rule."""
-    if column in df.columns:
-        return column
-    if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true":
-        return None
-    return next((name for name in df.columns if name.lower() == column.lower()), None)
+from plumbline.sources.tables import Tables, open_tables, reraise_if_stopped, side_by_side
 
 
 class QualityRun:
@@ -70,42 +37,17 @@ class QualityRun:
         self.findings: list[dict] = []
         self.by_table: dict[tuple[str, str], list[Check]] = {}
         wanted = sorted(unpivot_checks(config).collect(), key=lambda r: (r["pos"], r["check_pos"]))
-        self.frames = self._open(tables, list(dict.fromkeys((r["schema"], r["table"]) for r in wanted)))
+        self.frames = open_tables(spark, tables, dict.fromkeys((r["schema"], r["table"]) for r in wanted), concurrent_tables)
         for row in wanted:
             self._place(row, (row["schema"], row["table"]))
 
-    def _open(self, tables: Tables, keys: list[tuple[str, str]]) -> dict[tuple[str, str], DataFrame | None]:
-        """Listing files and reading schemas waits on storage, so tables are opened side by side."""
-
-        @inheritable_thread_target(self.spark)
-        def open_table(key: tuple[str, str]) -> DataFrame | None:
-            try:
-                return tables(*key)
-            except (AnalysisException, KeyError):
-                return None
-
-        with ThreadPoolExecutor(self.concurrent_tables) as pool:
-            return dict(zip(keys, pool.map(open_table, keys), strict=True))
-
     def _place(self, row: Row, key: tuple[str, str]) -> None:
-        df = self.frames[key]
-        field = _field_name(df, row["column_name"]) if df is not None else None
-        data_type = df.schema[field].dataType.simpleString() if field else ""
-        check = Check(
-            row["pos"], row["check_pos"], row["schema"], row["table_name"], row["column_name"],
-            row["check_type"], field or "", data_type,
-        )
-        temporal = data_type in TEMPORAL_TYPES or row["temporal_name"]
-        if not row["valid_name"]:
-            self.findings.append(_finding(check, BAD_NAME, WARNING, "not a plain column name"))
-        elif df is None:
-            self.findings.append(_error(check, f"missing table {'.'.join(key)}"))
-        elif field is None:
-            self.findings.append(_error(check, f"missing column {check.column_name}"))
-        elif check.check_type == FRESHNESS and (row["vetoed_name"] or not temporal):
-            self.findings.append(_finding(check, NOT_TEMPORAL, WARNING, "neither type nor name is temporal"))
+        check = Check(row["pos"], row["check_pos"], row["schema"], row["table_name"], row["column_name"], row["check_type"], "", "")
+        screened = screen(check, self.frames[key], row["valid_name"], row["temporal_name"], row["vetoed_name"])
+        if isinstance(screened, Check):
+            self.by_table.setdefault(key, []).append(screened)
         else:
-            self.by_table.setdefault(key, []).append(check)
+            self.findings.append(screened)
 
     def results(self) -> DataFrame:
         """All results as one lazy DataFrame; meant for tens of tables."""
@@ -123,31 +65,25 @@ class QualityRun:
     def isolated_results(self) -> DataFrame:
         """All results, each table measured by itself and several at a time.
 
-        A table that fails is measured again check by check, so that an error costs only the
-        checks it belongs to. One measure row per check passes through the driver.
+        The checks of a table that fails are halved until those that fail are alone, so that an error costs only the
+        checks it belongs to and few scans. One measure row per check passes through the driver.
         """
         checks = [check for group in self.by_table.values() for check in group]
         numbers = {check: number for number, check in enumerate(checks)}
 
-        def measure(key: tuple[str, str], group: list[Check]) -> pa.Table:
+        def measure(key: tuple[str, str], group: list[Check]) -> tuple[list[pa.Table], list[dict]]:
             numbered = [(numbers[check], check) for check in group]
-            return reduce(DataFrame.union, measure_frames([(self.frames[key], numbered)])).toArrow()
-
-        @inheritable_thread_target(self.spark)
-        def run_table(key: tuple[str, str]) -> tuple[list[pa.Table], list[dict]]:
             try:
-                return [measure(key, self.by_table[key])], []
-            except Exception:  # isolation boundary: find the checks that fail
-                measured, errors = [], []
-            for check in self.by_table[key]:
-                try:
-                    measured.append(measure(key, [check]))
-                except Exception as error:
-                    errors.append(_error(check, str(error).split("\n")[0]))
-            return measured, errors
-
-        with ThreadPoolExecutor(self.concurrent_tables) as pool:
-            done = list(pool.map(run_table, self.by_table))
+                return [reduce(DataFrame.union, measure_frames([(self.frames[key], numbered)])).toArrow()], []
+            except Exception as error:  # isolation boundary
+                reraise_if_stopped(self.spark, error)
+                if len(group) == 1:
+                    return [], [error_finding(group[0], first_line(error))]
+            half = len(group) // 2
+            (a, x), (b, y) = measure(key, group[:half]), measure(key, group[half:])
+            return a + b, x + y
+
+        done = side_by_side(self.spark, lambda key: measure(key, self.by_table[key]), self.by_table, self.concurrent_tables).values()
         measured = [table for tables, _ in done for table in tables]
         findings = self.findings + [error for _, errors in done for error in errors]
         known = local_rows(self.spark, findings, RESULT_SCHEMA)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from plumbline.functions.literals import local_rows
-from plumbline.sources.tables import quoted_name
+from plumbline.sources.tables import open_tables, quoted_name
+
+_LOG = logging.getLogger(__name__)
 
 CATALOG_SCHEMA = "schema string, table string, table_pos long, ordinal long, column string, data_type string"
 
@@ -23,7 +26,7 @@ def column_types(schema: StructType, prefix: str = "") -> Iterator[tuple[str, st
 
 
 def catalog_of(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
-    """The catalog of named DataFrames; reads schemas only."""
+    """The catalog of named DataFrames; reads schemas only. Meant for up to some 100,000 columns: rows pass one task."""
     rows = [
         dict(schema=schema, table=table, table_pos=table_pos, ordinal=ordinal, column=column, data_type=data_type)
         for table_pos, ((schema, table), df) in enumerate(tables.items())
@@ -32,7 +35,11 @@ def catalog_of(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame])
     return local_rows(spark, rows, CATALOG_SCHEMA)
 
 
-def session_tables(spark: SparkSession, schema: str) -> dict[tuple[str, str], DataFrame]:
-    """The tables of a schema of the session catalog."""
-    names = [t.name for t in spark.catalog.listTables(schema) if not t.isTemporary]
-    return {(schema, name): spark.table(quoted_name(schema, name)) for name in names}
+def session_tables(spark: SparkSession, schema: str, at_once: int = 8) -> dict[tuple[str, str], DataFrame]:
+    """The tables of a schema of the session catalog that can be opened; the reasons of others are logged as warnings."""
+    keys = [(schema, t.name) for t in spark.catalog.listTables(schema) if not t.isTemporary]
+    opened = open_tables(spark, lambda s, t: spark.table(quoted_name(s, t)), keys, at_once)
+    for (_, name), found in opened.items():
+        if isinstance(found, str):
+            _LOG.warning("skipping %s.%s: %s", schema, name, found)
+    return {key: found for key, found in opened.items() if not isinstance(found, str)}

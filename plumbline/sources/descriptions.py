@@ -1,29 +1,38 @@
 """Description documents: nested sources, tables and columns, to flat rows and back.
 
-Flat rows hold one described object each: ``schema, table, column, ordinal, description,
-data_type``. The table itself has no column and ordinal 0; its columns count from 1.
+Flat rows hold one described object each: ``schema, table, column, ordinal, description, data_type, entry_pos``. The table
+itself has no column and ordinal 0; its columns have the ordinal that they are given, gaps and nulls included.
+``entry_pos`` (``source_pos, table_pos``) tells where an entry stands: later ones count, and entries are written in
+its order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.names import last_segment
 
 _COLUMNS = "columns array<struct<name string, description string, data_type string>>"
-ENTRY_SCHEMA = f"schema string, table string, part long, description string, {_COLUMNS}"
+ENTRY_SCHEMA = (
+    "schema string, table string, description string, "
+    "columns array<struct<ordinal long, name string, description string, data_type string>>"
+)
 DOCUMENT_SCHEMA = (
     "version int, sources array<struct<name string, schema string, "
     f"tables array<struct<name string, description string, {_COLUMNS}>>>>"
 )
 DEFAULT_SCHEMA = "public"
-COLUMNS_PER_ENTRY = 1000
+VERSION = 2  # fixed value: the version written into a document
+
+
+def entry_pos(source_pos: Column, table_pos: Column) -> Column:
+    return F.struct(source_pos.cast("long").alias("source_pos"), table_pos.cast("long").alias("table_pos")).alias("entry_pos")
 
 
-def read_document(spark: SparkSession, path: str) -> DataFrame:
-    """A nested document as JSON, one document per file."""
-    return spark.read.schema(DOCUMENT_SCHEMA).json(path, multiLine=True)
+def read_document(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """Nested documents as JSON: one per file, or with ``lines`` one per line, as ``write_document`` writes them."""
+    return spark.read.schema(DOCUMENT_SCHEMA).json(path, multiLine=not lines)
 
 
 def read_yaml_document(spark: SparkSession, path: str) -> DataFrame:
@@ -43,19 +52,22 @@ def document_entries(document: DataFrame) -> DataFrame:
         "source_pos", "source.name", "source.schema", F.posexplode("source.tables").alias("table_pos", "entry")
     )
     named = [F.when(F.col(c) != "", F.col(c)) for c in ("name", "schema")]
+    columns = F.transform(
+        "entry.columns",
+        lambda c, i: F.struct((i + 1).cast("long").alias("ordinal"), c["name"], c["description"], c["data_type"]),
+    )
     return tables.select(
         F.coalesce(*named, F.lit(DEFAULT_SCHEMA)).alias("schema"),
         last_segment(F.col("entry.name")).alias("table"),
-        F.lit(0).cast("long").alias("part"),
         "entry.description",
-        "entry.columns",
-        F.struct("source_pos", "table_pos").alias("entry_pos"),
+        columns.alias("columns"),
+        entry_pos(F.col("source_pos"), F.col("table_pos")),
     )
 
 
 def flatten_entries(entries: DataFrame) -> DataFrame:
     """One row per described object; other columns of an entry, such as its place, are repeated."""
-    carried = [c for c in entries.columns if c not in ("schema", "table", "part", "description", "columns")]
+    carried = [c for c in entries.columns if c not in ("schema", "table", "description", "columns")]
     table_row = F.struct(
         F.lit(None).cast("string").alias("column"),
         F.lit(0).cast("long").alias("ordinal"),
@@ -64,42 +76,50 @@ def flatten_entries(entries: DataFrame) -> DataFrame:
     )
     column_rows = F.transform(
         F.coalesce("columns", F.array()),
-        lambda c, i: F.struct(
-            c["name"].alias("column"),
-            (F.col("part") * COLUMNS_PER_ENTRY + i + 1).cast("long").alias("ordinal"),
-            c["description"].alias("description"),
-            c["data_type"].alias("data_type"),
-        ),
+        lambda c: F.struct(c["name"].alias("column"), c["ordinal"], c["description"], c["data_type"]),
     )
-    rows = F.when(F.col("part") == 0, F.concat(F.array(table_row), column_rows)).otherwise(column_rows)
-    return entries.select("schema", "table", F.inline(rows), *carried)
+    return entries.select("schema", "table", F.inline(F.concat(F.array(table_row), column_rows)), *carried)
 
 
 def latest_descriptions(flat: DataFrame) -> DataFrame:
-    """One row per object; of several entries for one table the last in the document counts."""
-    return flat.groupBy("schema", "table", "column").agg(
-        F.max_by("ordinal", "entry_pos").alias("ordinal"),
-        F.max_by("description", "entry_pos").alias("description"),
-        F.max_by("data_type", "entry_pos").alias("data_type"),
+    """One row per object; of several the last in the document counts."""
+    last = F.struct("entry_pos", "ordinal", "description", "data_type")
+    return flat.groupBy("schema", "table", "column").agg(F.max(last).alias("last")).select(
+        "schema", "table", "column", "last.ordinal", "last.description", "last.data_type", "last.entry_pos"
     )
 
 
 def nest_entries(flat: DataFrame) -> DataFrame:
-    """Table entries with their columns in order.
+    """One entry per table, its columns ordered by their ordinals (nulls first), then by name.
 
-    A table wider than ``COLUMNS_PER_ENTRY`` columns becomes several entries, numbered by
-    ``part``, so that no row or group grows with the table. The first carries its description.
+    A row holds one table whole, so it is as wide as a catalog table: not for tables made of data rows without bound.
     """
-    part = F.greatest(F.floor((F.col("ordinal") - 1) / COLUMNS_PER_ENTRY), F.lit(0)).cast("long")
     column = F.struct("ordinal", F.col("column").alias("name"), "description", "data_type")
-    entries = flat.groupBy("schema", "table", part.alias("part")).agg(
+    return flat.groupBy("schema", "table").agg(
         F.max(F.when(F.col("column").isNull(), F.col("description"))).alias("description"),
         F.sort_array(F.collect_list(F.when(F.col("column").isNotNull(), column))).alias("columns"),
     )
-    return entries.withColumn(
-        "columns",
-        F.transform("columns", lambda c: F.struct(c["name"], c["description"], c["data_type"])),
+
+
+def nest_document(flat: DataFrame) -> DataFrame:
+    """One document per source, in the shape that ``read_document`` reads: tables in the order of their places.
+
+    A document holds a source whole, as the files do that people write; sources never meet.
+    """
+    places = flat.groupBy("schema", "table").agg(F.min("entry_pos").alias("entry_pos"))
+    entries = nest_entries(flat).join(places, ["schema", "table"])
+    plain = F.transform("columns", lambda c: F.struct(c["name"], c["description"], c["data_type"]))
+    table = F.struct(F.col("table").alias("name"), "description", plain.alias("columns"))
+    sources = entries.groupBy("schema").agg(F.sort_array(F.collect_list(F.struct("entry_pos", table.alias("entry")))).alias("tables"))
+    source = F.struct(
+        F.col("schema").alias("name"), F.lit(None).cast("string").alias("schema"), F.transform("tables", lambda t: t["entry"]).alias("tables")
     )
+    return sources.select(F.lit(VERSION).alias("version"), F.array(source).alias("sources"))
+
+
+def write_document(flat: DataFrame, path: str) -> None:
+    """The documents of ``flat``, one per line and source; ``read_document(..., lines=True)`` reads them."""
+    nest_document(flat).write.mode("overwrite").json(path)
 
 
 def write_entries(entries: DataFrame, path: str) -> None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.functions.literals import local_rows
-from plumbline.operators.coverage import catalog_objects, count_items, coverage, undocumented, with_descriptions, worklist
+from plumbline.operators.coverage import catalog_objects, count_items, count_objects, coverage, undocumented, with_descriptions, worklist
 from plumbline.operators.merge import merge_descriptions, publishable
 from plumbline.operators.suggest import (
     candidate_evidence,
@@ -19,14 +19,15 @@ from plumbline.plans.documentation import refresh_documentation
 from plumbline.sources.catalog import CATALOG_SCHEMA, catalog_of, session_tables
 from plumbline.sources.configs import config_from_entries
 from plumbline.sources.descriptions import (
-    COLUMNS_PER_ENTRY,
     document_entries,
+    entry_pos,
     flatten_entries,
     latest_descriptions,
     nest_entries,
     read_document,
     read_entries,
     read_yaml_document,
+    write_document,
     write_entries,
 )
 
@@ -42,8 +43,8 @@ def catalog(spark, **tables):
     return local_rows(spark, rows, CATALOG_SCHEMA)
 
 
-def flat(spark, *rows):
-    return spark.createDataFrame(rows, FLAT)
+def flat(spark, *rows, source_pos=0, table_pos=0):
+    return spark.createDataFrame(rows, FLAT).withColumn("entry_pos", entry_pos(F.lit(source_pos), F.lit(table_pos)))
 
 
 def entries(df):
@@ -192,22 +193,58 @@ def test_last_entry_of_a_table_counts(spark, tmp_path):
     assert len(latest) == 7
 
 
-def test_wide_tables_nest_into_parts_and_back(spark, tmp_path):
-    n = 2 * COLUMNS_PER_ENTRY + 3
-    wide = spark.range(1, n + 1).select(
+def test_nesting_keeps_every_ordinal(spark, tmp_path):
+    """Gaps, nulls and widths of any size come back as they were; a table has one row of its own."""
+    wide = spark.range(1, 2504).select(
         F.lit("s").alias("schema"), F.lit("wide").alias("table"),
-        F.concat(F.lit("c"), F.col("id").cast("string")).alias("column"), F.col("id").alias("ordinal"),
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("column"), (F.col("id") * 700).alias("ordinal"),
         F.lit("text").alias("description"), F.lit("int").alias("data_type"),
     )
-    rows = wide.unionByName(flat(spark, ("s", "wide", None, 0, "Wide.", None), ("t", "wide", "a", 1, None, "int"),
-                                 ("t", "wide", None, 0, None, None)))
+    rows = wide.unionByName(flat(
+        spark, ("s", "wide", None, 0, "Wide.", None), ("t", "wide", "a", 9, None, "int"), ("t", "wide", "b", 5, "B.", "int"),
+        ("t", "wide", None, 0, None, None), ("u", "n", None, 0, None, None), ("u", "n", "x", None, "X.", None), ("u", "n", "y", None, None, None),
+    ).drop("entry_pos"))
     write_entries(nest_entries(rows.repartition(7)), str(tmp_path / "docs"))
     back = read_entries(spark, str(tmp_path / "docs"))
-    assert {(r["schema"], r["part"], len(r["columns"])) for r in back.collect()} == {
-        ("s", 0, COLUMNS_PER_ENTRY), ("s", 1, COLUMNS_PER_ENTRY), ("s", 2, 3), ("t", 0, 1),
-    }
+    assert {(r["schema"], len(r["columns"])) for r in back.collect()} == {("s", 2503), ("t", 2), ("u", 2)}
     again = flatten_entries(back).select(rows.columns)
     assert again.exceptAll(rows).count() == rows.exceptAll(again).count() == 0
+    assert tuple(count_items(back).first()) == tuple(count_objects(rows).first()) == (3, 2507, 2510)
+    assert tuple(count_objects(rows.limit(0)).first()) == (0, 0, 0)
+
+
+def test_repeated_keys_count_once(spark):
+    """Of several descriptions of an object the last in the document counts, and no object multiplies."""
+    objects = catalog_objects(catalog(spark, a="id name"))
+    first = flat(spark, ("s", "a", "id", 1, "Old.", "int"), ("s", "a", "name", 2, "Name.", None), ("s", "a", "id", 1, "Old.", "int"))
+    last = flat(spark, ("s", "a", "id", 1, "New.", "int"), ("s", "a", "id", 2, "Newest.", "int"), table_pos=3)
+    both = last.unionByName(first)
+    assert [tuple(r) for r in coverage(objects, both).collect()] == [("s", "a", 3, 2, 2 / 3)]
+    assert undocumented(objects, both).count() == 1 and worklist(objects, both).count() == 1
+    joined = with_descriptions(objects, both).collect()
+    assert {r["column"]: r["description"] for r in joined} == {None: None, "id": "Newest.", "name": "Name."} and len(joined) == 3
+    rows = refresh_documentation(catalog(spark, a="id name"), both, both, overwrite=True).collect()
+    assert sorted((r["column"] or "", r["description"]) for r in rows) == [("", None), ("id", "Newest."), ("name", "Name.")]
+
+
+def test_merged_document_is_written_in_order(spark, tmp_path):
+    (tmp_path / "schema.json").write_text(json.dumps(DOCUMENT))
+    stored = flatten_entries(document_entries(read_document(spark, str(tmp_path / "schema.json"))))
+    tables = {
+        ("shop", "zeta"): spark.createDataFrame([], "a int, b int"), ("shop", "orders"): spark.createDataFrame([], "total int, id int"),
+        ("new", "t"): spark.createDataFrame([], "k int"),
+    }
+    merged = refresh_documentation(catalog_of(spark, tables), stored, flat(spark, ("shop", "zeta", "b", 2, "B.", None)))
+    write_document(merged.repartition(5), str(tmp_path / "merged"))
+    back = read_document(spark, str(tmp_path / "merged"), lines=True)
+    assert {r["version"] for r in back.collect()} == {2}
+    sources = {r["sources"][0]["name"]: r["sources"][0]["tables"] for r in back.collect()}
+    assert {name: [t["name"] for t in found] for name, found in sources.items()} == {
+        "shop": ["orders", "empty", "zeta"], "web": ["hits"], "public": ["loose"], "new": ["t"],
+    }
+    orders, _, zeta = sources["shop"]
+    assert orders["description"] == "Orders, again." and [(c["name"], c["description"]) for c in orders["columns"]] == [("total", None), ("id", "Key.")]
+    assert [(c["name"], c["description"], c["data_type"]) for c in zeta["columns"]] == [("a", None, "int"), ("b", "B.", "int")]
 
 
 def test_coverage_and_worklist(spark):

@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 from plumbline.functions.ages import Clock
 from plumbline.operators.checks import completeness, uniqueness
 from plumbline.operators.coverage import catalog_objects, coverage, undocumented
-from plumbline.operators.merge import checked_broadcast, merge_descriptions
+from plumbline.operators.merge import merge_descriptions
 from plumbline.operators.report import top_findings
 from plumbline.plans.documentation import refresh_documentation
 from plumbline.plans.quality import run_checks
 from plumbline.sources.configs import config_from_entries
+from plumbline.sources.descriptions import entry_pos
 from plumbline.sources.tables import parquet_tables
 
 
@@ -47,11 +48,22 @@ def test_checks_of_a_table_share_one_pruned_scan(spark, lake):
     assert "partial_count" in text and "partial_max" in text and "Expand" not in text
 
 
-def test_each_uniqueness_check_reads_its_own_column(spark, lake):
-    entries = [{"table": "s.t", "uniqueness_col": c, "completeness_col": "id"} for c in ("id", "k")]
-    text = plan(run_checks(spark, config_from_entries(spark, entries), parquet_tables(spark, f"{lake}/{{table}}")))
-    assert sorted(scans(text)) == [["id"], ["id"], ["k"]]
+def test_a_column_is_read_once(spark, lake):
+    """Grouping a column for uniqueness counts its nulls too."""
+    entries = [{"table": "s.t", "uniqueness_col": c, "completeness_col": "id"} for c in ("id", "k", "id")]
+    results = run_checks(spark, config_from_entries(spark, entries), parquet_tables(spark, f"{lake}/{{table}}"))
+    text = plan(results)
+    assert sorted(scans(text)) == [["id"], ["k"]]
     assert text.count("functions=[partial_count(1)]") == 2 and "Expand" not in text
+    assert sorted((r["check_type"], r["column_name"], r["result_value"]) for r in results.collect()) == [
+        ("Completeness", "id", "PASS"), ("Completeness", "id", "PASS"), ("Completeness", "id", "PASS"),
+        ("Uniqueness", "id", "PASS"), ("Uniqueness", "id", "PASS"), ("Uniqueness", "k", "93 duplicates"),
+    ]
+
+
+def test_arrays_are_shuffled_as_digests(spark, lake):
+    text = plan(uniqueness(spark.read.parquet(f"{lake}/n"), ["nested"]))
+    assert "sha2" in text and not re.search(r"hashpartitioning\(nested", text)
 
 
 def test_footers_answer_counts_where_the_session_allows(spark, lake):
@@ -99,6 +111,7 @@ def test_metadata_joins_are_keyed(spark, no_broadcast):
     catalog = spark.range(50).select(
         F.lit("s").alias("schema"), (F.col("id") % 3).cast("string").alias("table"), F.col("id").cast("string").alias("column"),
         F.col("id").alias("ordinal"), F.lit("int").alias("data_type"), F.lit("text").alias("description"),
+        F.lit(0).alias("table_pos"), entry_pos(F.lit(0), F.col("id")),
     )
     objects = catalog_objects(catalog)
     for df in (
@@ -109,15 +122,19 @@ def test_metadata_joins_are_keyed(spark, no_broadcast):
         assert "SortMergeJoin" in text or "ShuffledHashJoin" in text
 
 
-def test_merge_broadcasts_only_counted_names(spark):
+def test_merging_starts_no_job_and_gives_no_hint(spark):
     rows = spark.range(50).select(
         F.lit("s").alias("schema"), (F.col("id") % 3).cast("string").alias("table"), F.col("id").cast("string").alias("column")
     )
-    names = rows.select("schema", "table").distinct()
-    assert "ResolvedHint" in checked_broadcast(names, 3)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in checked_broadcast(names, 2)._jdf.queryExecution().analyzed().toString()
-    text = plan(merge_descriptions(rows, rows))
-    assert "BroadcastHashJoin" in text and "LeftAnti" in text and "hashpartitioning(column" not in text
+    group = "merging"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        merged = merge_descriptions(rows, rows)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) == []
+    assert "ResolvedHint" not in merged._jdf.queryExecution().analyzed().toString()
+    assert "LeftAnti" in plan(merged) and "hashpartitioning(column" not in plan(merged)
 
 
 def test_coverage_moves_no_text(spark, no_broadcast):
@@ -126,7 +143,7 @@ def test_coverage_moves_no_text(spark, no_broadcast):
         F.col("id").alias("ordinal"), F.lit("int").alias("data_type"), F.uuid().alias("description"),
     )
     for df in (coverage(catalog_objects(rows), rows), undocumented(catalog_objects(rows), rows)):
-        shuffled = re.findall(r"Exchange hashpartitioning.*\n.*?Project \[([^\]]*)\]", plan(df))
+        shuffled = re.findall(r"Exchange hashpartitioning.*\n.*?(?:Project \[|HashAggregate\(keys=\[)([^\]]*)\]", plan(df))
         assert shuffled and not any("description" in columns for columns in shuffled)
 
 
