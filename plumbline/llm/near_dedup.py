@@ -53,9 +53,13 @@ class Shingler:
         known = self.words
         if len(known) > KEPT_WORDS:
             known.clear()
-        for w in set(words) - known.keys():
-            known[w] = xxhash.xxh64_intdigest(w)
-        codes = np.fromiter((known[w] for w in words), np.uint64, len(words))
+        found = [known.get(w) for w in words]
+        if None in found:
+            for w in words:
+                if w not in known:
+                    known[w] = xxhash.xxh64_intdigest(w)
+            found = [known[w] for w in words]
+        codes = np.array(found, np.uint64)
         size = min(self.size, len(codes))
         total = np.full(len(codes) - size + 1, size, np.uint64)
         for k in range(size):
