@@ -5,9 +5,11 @@ value are kept: either agrees between two documents with a probability equal to
 hash evaluations give the same number of values. Values are banded; documents that agree in a band are candidates, and
 links are confirmed on their full sets.
 
-Documents with equal sets are one node. Pairs within a bucket are not made at large: each node is compared with the
-least node it meets, then with the first and last node of those of its buckets that it isn't connected with yet, and only
-nodes of a bucket that are still in different components after that are compared with each other.
+Documents with equal sets are one node. Pairs within a bucket are not made at large. Each node is first compared with the
+hubs it meets, the nodes with the most company in its buckets: in a family of copies the hub is the one closest to all. After
+that, only nodes outside the largest component of a bucket are compared with the others of the bucket, and only pairs that a
+bound on their difference allows: each set has a bitmap of 1,024 parities of its hashes, and two sets differ in at least as
+many shingles as their bitmaps differ in bits. The bound loses no link.
 """
 
 from __future__ import annotations
@@ -18,7 +20,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.llm.common import hinted, stored, text_key, text_or_empty, without
@@ -31,6 +33,7 @@ BAND = 4  # values in a band: at 80 % a pair is missed by all 24 bands once in 3
 ADDED = ["n_shingles", "component_id", "kept"]
 KEPT_WORDS = 500_000
 SLICE = 1 << 14
+PARITY_LONGS = 16
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -88,12 +91,18 @@ class MinMax:
         return keys.view(np.int64)
 
 
+def _parities(hashes: np.ndarray) -> np.ndarray:
+    """For each of 1,024 places whether an odd number of hashes falls on it."""
+    places = ((hashes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(54)).astype(np.int64)
+    return np.packbits(np.bincount(places, minlength=64 * PARITY_LONGS).astype(np.uint8) & 1).view(np.int64)
+
+
 def _set_key(hashes: np.ndarray) -> tuple[int, int]:
     return tuple(np.frombuffer(xxhash.xxh3_128_digest(hashes.tobytes()), np.int64).tolist())
 
 
 def _signatures(docs: DataFrame, text: str, doc_id: str, shingle: int, permutations: int, band: int) -> DataFrame:
-    """``k1, k2, doc_id, n, s1, s2, bands`` of every row: text, id, size and key of its set, and its bands."""
+    """``k1, k2, doc_id, n, s1, s2, bands, parity`` of every row: text, id, size and key of its set, its bands and parities."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, minmax = Shingler(shingle), MinMax(permutations, band)
@@ -101,17 +110,18 @@ def _signatures(docs: DataFrame, text: str, doc_id: str, shingle: int, permutati
             rows = []
             for body in batch.column(3).to_pylist():
                 hashes = shingler.hashes(body)
-                rows.append((len(hashes), *_set_key(hashes), minmax.bands(hashes).tolist() if len(hashes) else []))
-            n, s1, s2, bands = zip(*rows, strict=True) if rows else ((), (), (), ())
+                rows.append((len(hashes), *_set_key(hashes), minmax.bands(hashes) if len(hashes) else [], _parities(hashes)))
+            columns = zip(*rows, strict=True) if rows else [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(n, pa.int64()), pa.array(s1, pa.int64()), pa.array(s2, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["k1", "k2", "doc_id", "n", "s1", "s2", "bands"],
+                [*batch.columns[:3], *[pa.array(c, kind) for c, kind in zip(columns, kinds, strict=True)]],
+                ["k1", "k2", "doc_id", "n", "s1", "s2", "bands", "parity"],
             )
 
     body = text_or_empty(f"`{text}`")
     rows = docs.select(*text_key(body), F.col(f"`{doc_id}`").alias("doc_id"), body.alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
-    return rows.mapInArrow(signed, f"k1 long, k2 long, doc_id {kind}, n long, s1 long, s2 long, bands array<long>")
+    return rows.mapInArrow(signed, f"k1 long, k2 long, doc_id {kind}, n long, s1 long, s2 long, bands array<long>, parity array<long>")
 
 
 def _full_sets(docs: DataFrame, text: str, nodes: DataFrame, shingle: int) -> DataFrame:
@@ -120,13 +130,13 @@ def _full_sets(docs: DataFrame, text: str, nodes: DataFrame, shingle: int) -> Da
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
         for batch in batches:
-            sets = [shingler.hashes(t).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["id", "hashes"])
+            sets = [shingler.hashes(t).view(np.int64) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"])
 
     body = docs.select(text_or_empty(f"`{text}`").alias("text"))
     held = body.select(*text_key(F.col("text")), "text").join(hinted(nodes, nodes.count() * 24), ["k1", "k2"])
     once = held.groupBy("id").agg(F.first("text").alias("text"))  # copies are collapsed before the shuffle
-    return once.mapInArrow(shingled, "id long, hashes binary")
+    return once.mapInArrow(shingled, "id long, hashes array<long>")
 
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -135,8 +145,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     @F.pandas_udf("boolean")
     def alike(left: pd.Series, right: pd.Series) -> pd.Series:
         out = []
-        for x, y in zip(left, right, strict=True):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for a, b in zip(left, right, strict=True):
             both = len(a) + len(b) - len(np.union1d(a, b))
             out.append(100 * both >= percent * (len(a) + len(b) - both))
         return pd.Series(out, dtype=bool)
@@ -152,36 +161,48 @@ def _components_of(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(found, "id", "left").withColumn("component", F.coalesce("component", "id"))
 
 
-def _groups(docs: DataFrame, signatures: DataFrame, nodes: DataFrame, text: str, shingle: int, percent: int) -> DataFrame:
-    """``id, component`` of the nodes that share a bucket with another one."""
-    buckets = nodes.select("id", "n", F.explode("bands").alias("band"))
-    ends = buckets.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
-    meeting = stored(buckets.join(ends, "band"))
-    members = meeting.groupBy("id").agg(F.min("first").alias("least"))
-    sets = stored(_full_sets(docs, text, nodes.select("id", "k1", "k2").join(members.select("id"), "id"), shingle))
+def _could_link(percent: int) -> Column:
+    """Whether sizes ``n_a, n_b`` and parities allow the similarity: the parities' bits are no more than the sets' difference."""
+    bits = " + ".join(f"bit_count(parity_a[{i}] ^ parity_b[{i}])" for i in range(PARITY_LONGS))
+    return F.expr(f"({bits}) * {100 + percent} <= (n_a + n_b) * {100 - percent}")
 
-    tested = stored(members.where("least < id").select(F.col("least").alias("a"), F.col("id").alias("b")))
-    links = stored(_linked(tested, sets, percent))
-    ids = members.select("id")
 
-    of = stored(_components_of(ids, links))
-    a, b = (of.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab")
-    by_ends = meeting.select(F.explode(F.array("first", "last")).alias("a"), F.col("id").alias("b")).where("a <> b")
-    by_ends = by_ends.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    open_ = by_ends.join(a, "a").join(b, "b").where("ca <> cb").select("a", "b").join(tested, ["a", "b"], "left_anti")
-    second = stored(open_)
-    links = stored(links.union(_linked(second, sets, percent)))
-    tested = tested.union(second)
+def _side(df: DataFrame, name: str) -> DataFrame:
+    return df.select(*[F.col(c).alias(name if c == "id" else c if c == "band" else f"{c}_{name}") for c in df.columns])
 
+
+def _groups(docs: DataFrame, nodes: DataFrame, text: str, shingle: int, percent: int) -> DataFrame:
+    """``id, component`` of the nodes that share a bucket with another one."""
+    buckets = nodes.select("id", F.explode("bands").alias("band"))
+    sizes = buckets.groupBy("band").agg(F.count("*").alias("c")).where("c > 1")
+    meeting = stored(buckets.join(sizes, "band"))
+    company = stored(meeting.groupBy("id").agg(F.sum("c").alias("company")))
+    ids = company.select("id")
+    known = stored(nodes.select("id", "n", "parity").join(ids, "id"))
+    sets = stored(_full_sets(docs, text, nodes.select("id", "k1", "k2").join(ids, "id"), shingle))
+    pair = [F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")]
+
+    hubs = meeting.join(company, "id").groupBy("band").agg(F.max(F.struct("company", "id")).alias("hub")).select("band", F.col("hub.id").alias("b"))
+    met = meeting.join(hubs, "band").where("id <> b").select(F.col("id").alias("a"), "b").select(*pair).distinct()
+    tested = stored(met.join(_side(known, "a"), "a").join(_side(known, "b"), "b").where(_could_link(percent)).select("a", "b"))
+    links = stored(_linked(tested, sets, percent))
     of = stored(_components_of(ids, links))
-    labelled = meeting.select("band", "id", "n").join(of, "id")
-    split = labelled.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("band")
-    rest = stored(labelled.join(split, "band"))
-    left = rest.select("band", F.col("id").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = rest.select("band", F.col("id").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"))
-    fits = (F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent) & (F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb"))
-    last = left.join(right, "band").where(fits).select("a", "b").distinct().join(tested, ["a", "b"], "left_anti")
-    return _components_of(ids, links.union(_linked(stored(last), sets, percent)))
+
+    placed = meeting.select("band", "id").join(of, "id")
+    counts = placed.groupBy("band", "component").agg(F.count("*").alias("c")).groupBy("band")
+    split = counts.agg(F.max(F.struct("c", "component")).alias("most"), F.count("*").alias("parts")).where("parts > 1")
+    rest = stored(placed.join(split.select("band", F.col("most.component").alias("main")), "band").join(known, "id"))
+    outside, every = _side(rest.where("component <> main").drop("main"), "a"), _side(rest.drop("main"), "b")
+    apart = outside.join(every, "band").where((F.col("component_a") != F.col("component_b")) & _could_link(percent))
+    last = stored(apart.select("a", "b").select(*pair).distinct().join(tested, ["a", "b"], "left_anti"))
+    more = stored(_linked(last, sets, percent))
+    if more.isEmpty():
+        return of
+    # Only components are joined now, each a node of its own.
+    ends = [of.select(F.col("id").alias(c), F.col("component").alias(f"c{c}")) for c in "ab"]
+    between = more.join(ends[0], "a").join(ends[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    merged = connected_components(between).select(F.col("id").alias("component"), F.col("component").alias("joined"))
+    return of.join(merged, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
 
 
 def near_duplicates(
@@ -206,9 +227,9 @@ def near_duplicates(
     kept_columns = without(docs, ADDED)
     signatures = stored(_signatures(docs, text, doc_id, shingle, permutations, band))
     by_set = signatures.where("n > 0").groupBy("s1", "s2", "n")
-    nodes = by_set.agg(F.first("bands").alias("bands"), F.min("doc_id").alias("least_doc"), F.min(F.struct("k1", "k2")).alias("key"))
-    nodes = stored(nodes.select("s1", "s2", "n", "bands", "least_doc", "key.*").withColumn("id", F.monotonically_increasing_id()))
-    groups = stored(_groups(docs, signatures, nodes, text, shingle, percent))
+    nodes = by_set.agg(F.first("bands").alias("bands"), F.first("parity").alias("parity"), F.min("doc_id").alias("least_doc"), F.min(F.struct("k1", "k2")).alias("key"))
+    nodes = stored(nodes.select("s1", "s2", "n", "bands", "parity", "least_doc", "key.*").withColumn("id", F.monotonically_increasing_id()))
+    groups = stored(_groups(docs, nodes, text, shingle, percent))
     labelled = nodes.select("s1", "s2", "id", "least_doc").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
     labelled = stored(labelled)
     least = labelled.groupBy("component").agg(F.min("least_doc").alias("group_doc"))
