@@ -113,7 +113,9 @@ def near_repeats(survivors: DataFrame) -> DataFrame:
     """``k1, k2`` of lines that are within one edit of an earlier one."""
     schema = "variant long, position int, k1 long, k2 long, no_id boolean, doc_id {}, row_key long, line_no int"
     variants = survivors.mapInArrow(_variants, schema.format(survivors.schema["doc_id"].dataType.simpleString()))
-    variants = variants.select("variant", "position", F.struct(*PLACE, "k1", "k2").alias("it"))
+    # Most variants stand alone and go before any further shuffle.
+    shared = variants.groupBy("variant").agg(F.count("*").alias("c")).where("c > 1").select("variant")
+    variants = stored(variants.join(shared, "variant").select("variant", "position", F.struct(*PLACE, "k1", "k2").alias("it")))
     shorter = variants.where("position >= 0")
     # The same place deleted: all members of a group are one substitution apart, the earliest stands for them.
     first = shorter.groupBy("variant", "position").agg(F.min("it").alias("other"), F.count("*").alias("c")).where("c > 1")

@@ -73,3 +73,15 @@ def test_variant_hashes():
         short = "abcde"[:i] + "abcde"[i + 1 :]
         assert variant_hashes(short)[1] == hashes[i]
     assert variant_hashes("abcde")[1] == whole and len(set(hashes.tolist())) == 5
+
+
+def test_without_broadcasts(spark):
+    """Where a session turns broadcasts off, the joins are shuffled and give the same."""
+    docs = spark.createDataFrame([(i, f"a line that many share\nline number {i} of them all\n{'x' * 30}{i % 3}") for i in range(30)], "doc_id long, text string")
+    before = sorted(dedup_lines(docs).collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert sorted(dedup_lines(docs).collect()) == before
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(r.n_removed for r in before) == 29 + 29 + 29
