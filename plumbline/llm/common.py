@@ -50,6 +50,18 @@ def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+#: Most bytes of texts that a Python worker is handed at once.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the session's bytes per Arrow batch, so that a worker's memory doesn't grow with the length of texts."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    known = (spark.conf.get(name, None) or "").rstrip("bB")
+    if not known.isdigit() or int(known) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def partitions_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

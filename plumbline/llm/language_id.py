@@ -19,11 +19,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import without
+from plumbline.llm.common import bounded_batches, without
 
 DIMENSIONS = 2048
-KEPT_GROUPS = 30_000
+KEPT_GROUPS = 16_000
 TOGETHER = 4_000  # groups in one product
+COUNTED_TOGETHER = 1_000_000  # groups counted at once
 UNDETERMINED = "und"
 ADDED = ["lang_pred", "score"]
 
@@ -68,7 +69,8 @@ class Space:
         if len(self.place) + len(new) > KEPT_GROUPS:
             self.place, self.groups, new = {}, self.groups[:0], codes
         if len(self.place) + len(new) > len(self.groups):
-            grown = np.zeros((2 * (len(self.place) + len(new)), self.dimensions), np.int8)
+            room = min(KEPT_GROUPS, (len(self.place) + len(new)) * 5 // 4)
+            grown = np.zeros((max(room, len(self.place) + len(new)), self.dimensions), np.int8)
             grown[: len(self.groups)] = self.groups
             self.groups = grown
         for c in new:
@@ -108,6 +110,18 @@ class Space:
         yield from zip([i for i, *_ in wait], self.bundle(every, counts), strict=True)
 
 
+def _count(wait: dict[str, list[np.ndarray]], sums: dict[str, tuple[np.ndarray, np.ndarray]]) -> None:
+    """Adds the waiting codes to the counts per language and empties them."""
+    for language, parts in wait.items():
+        codes, counts = np.unique(np.concatenate(parts), return_counts=True)
+        if language in sums:
+            known, so_far = sums[language]
+            every, place = np.unique(np.concatenate([known, codes]), return_inverse=True)
+            codes, counts = every, np.bincount(place, np.concatenate([so_far, counts])).astype(np.int64)
+        sums[language] = codes, counts.astype(np.int64)
+    wait.clear()
+
+
 @dataclass
 class Profiles:
     languages: list[str]
@@ -120,14 +134,19 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         space = Space(1)
         for batch in batches:
-            found: dict[str, list[np.ndarray]] = {}
-            for language, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.setdefault(language, []).append(space.codes(body))
-            for language, parts in found.items():
-                codes, counts = np.unique(np.concatenate(parts), return_counts=True)
+            wait: dict[str, list[np.ndarray]] = {}
+            sums: dict[str, tuple[np.ndarray, np.ndarray]] = {}
+            size = 0
+            for language, body in zip(batch.column(0), batch.column(1), strict=True):
+                wait.setdefault(language.as_py(), []).append(space.codes(body.as_py()))
+                size += len(wait[language.as_py()][-1])
+                if size >= COUNTED_TOGETHER:
+                    _count(wait, sums)
+                    size = 0
+            _count(wait, sums)
+            for language, (codes, counts) in sums.items():
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([language] * len(codes), pa.string()), pa.array(codes), pa.array(counts, pa.int64())],
-                    ["lang", "code", "n"],
+                    [pa.array([language] * len(codes), pa.string()), pa.array(codes), pa.array(counts)], ["lang", "code", "n"]
                 )
 
     def bundle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,6 +162,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", dimensions: i
                 ["lang", "vector"],
             )
 
+    bounded_batches(docs.sparkSession)
     labelled = docs.select(F.col(f"`{lang}`").cast("string").alias("lang"), F.col(f"`{text}`").alias("text"))
     counts = labelled.where("lang IS NOT NULL AND text IS NOT NULL").mapInArrow(count, "lang string, code long, n long")
     sums = counts.groupBy("lang", "code").agg(F.sum("n").alias("n")).mapInArrow(bundle, "lang string, vector array<double>")
@@ -182,6 +202,7 @@ def identify_languages(docs: DataFrame, profiles: Profiles, text: str = "text")
     texts count. Repeated rows get equal answers; of equal cosines the first language by name wins. Columns called
     ``lang_pred`` or ``score`` are replaced.
     """
+    bounded_batches(docs.sparkSession)
     kept = without(docs, ADDED)
     found = kept.select("*", identify(F.col(f"`{text}`"), profiles).alias("__found"))
     return found.select(*[F.col(f"`{c}`") for c in kept.columns], "__found.lang_pred", "__found.score")

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import hinted, stored, text_key, text_or_empty, without
+from plumbline.llm.common import bounded_batches, hinted, stored, text_key, text_or_empty, without
 
 SHORTEST_NEAR = 20  # characters; a shorter line is compared exactly
 BLANKS = " \t\r\x0b\x0c"
@@ -141,6 +141,7 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     input, not on what is left. Blank lines stay and don't count. Rows equal in id and text are at one place: they lose the
     same lines. A null text stays null, an empty one empty. Columns called ``n_lines`` or ``n_removed`` are replaced.
     """
+    bounded_batches(docs.sparkSession)
     kept_columns = without(docs, ADDED).columns
     lines = _lines(docs, text, doc_id)
     near = F.when(F.col("n") >= SHORTEST_NEAR, _halves())

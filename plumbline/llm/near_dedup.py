@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import hinted, stored, text_key, text_or_empty, without
+from plumbline.llm.common import bounded_batches, hinted, stored, text_key, text_or_empty, without
 from plumbline.llm.components import connected_components
 
 SHINGLE = 5
@@ -31,7 +31,7 @@ PERCENT = 80
 PERMUTATIONS = 48  # twice as many values
 BAND = 4  # values in a band: at 80 % a pair is missed by all 24 bands once in 300,000
 ADDED = ["n_shingles", "component_id", "kept"]
-KEPT_WORDS = 500_000
+KEPT_WORDS = 100_000
 SLICE = 1 << 14
 PARITY_LONGS = 16
 
@@ -108,8 +108,8 @@ def _signatures(docs: DataFrame, text: str, doc_id: str, shingle: int, permutati
         shingler, minmax = Shingler(shingle), MinMax(permutations, band)
         for batch in batches:
             rows = []
-            for body in batch.column(3).to_pylist():
-                hashes = shingler.hashes(body)
+            for body in batch.column(3):
+                hashes = shingler.hashes(body.as_py())
                 rows.append((len(hashes), *_set_key(hashes), minmax.bands(hashes) if len(hashes) else [], _parities(hashes)))
             columns = zip(*rows, strict=True) if rows else [()] * 5
             kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
@@ -130,7 +130,7 @@ def _full_sets(docs: DataFrame, text: str, nodes: DataFrame, shingle: int) -> Da
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler = Shingler(shingle)
         for batch in batches:
-            sets = [shingler.hashes(t).view(np.int64) for t in batch.column(1).to_pylist()]
+            sets = [shingler.hashes(t.as_py()).view(np.int64) for t in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["id", "hashes"])
 
     body = docs.select(text_or_empty(f"`{text}`").alias("text"))
@@ -224,6 +224,7 @@ def near_duplicates(
     has no shingles; if no row of a component has an id, ``component_id`` is null. Rows with equal ids are one document: they
     are kept or not together. Columns of the names added are replaced. An empty table gives an empty result.
     """
+    bounded_batches(docs.sparkSession)
     kept_columns = without(docs, ADDED)
     signatures = stored(_signatures(docs, text, doc_id, shingle, permutations, band))
     by_set = signatures.where("n > 0").groupBy("s1", "s2", "n")

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import hinted, partitions_of, stored, text_key, text_or_empty, without
+from plumbline.llm.common import bounded_batches, hinted, partitions_of, stored, text_key, text_or_empty, without
 from plumbline.llm.suffix_sort import deep_shallow_order, neighbours_prefix
 
 MIN_BYTES = 400
@@ -259,6 +259,7 @@ def _contexts(bodies: DataFrame, blocks: DataFrame, min_bytes: int) -> DataFrame
 
 def repeated_spans(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYTES, large_class: int = LARGE_CLASS) -> DataFrame:
     """``k1, k2, start, end``: bytes that strings of ``min_bytes`` cover that occur anywhere else. Spans may overlap."""
+    bounded_batches(docs.sparkSession)
     body = text_or_empty(f"`{text}`")
     bodies = docs.select(*text_key(body), body.alias("text")).where(F.octet_length("text") >= min_bytes)
     blocks = _blocks(bodies, min_bytes)

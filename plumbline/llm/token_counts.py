@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import without
+from plumbline.llm.common import bounded_batches, without
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0  # fixed value of the tokenizer's unigram model
@@ -116,5 +116,6 @@ def count_tokens(
     A null or empty text has 0 tokens. Texts are counted whole, whatever their length; repeated rows are counted
     each. A column called ``n_tokens`` is replaced. The vocabulary (a file of bounded size) goes to each task.
     """
+    bounded_batches(docs.sparkSession)
     kept = without(docs, ["n_tokens"])
     return kept.withColumn("n_tokens", token_count(F.col(f"`{text}`"), pieces, unknown_id, byte_fallback))
