@@ -169,7 +169,9 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
 
     whole = docs.select("*", F.xxhash64(F.col(f"`{doc_id}`").cast("string"), text_or_empty(f"`{text}`")).alias("__key"))
     joined = whole.join(kept, whole["__key"] == kept["row_key"], "left")
-    found = joined.select(F.struct(*[whole[f"`{c}`"] for c in kept_columns]).alias("row"), filtered(whole[f"`{text}`"], "kept").alias("f"))
+    # Not to be worked out a second time where a caller filters by its numbers.
+    once = filtered.asNondeterministic()
+    found = joined.select(F.struct(*[whole[f"`{c}`"] for c in kept_columns]).alias("row"), once(whole[f"`{text}`"], "kept").alias("f"))
     return found.select(
         *[F.col("f.text" if c == text else f"row.`{c}`").alias(c) for c in kept_columns], "f.n_lines", "f.n_removed"
     )

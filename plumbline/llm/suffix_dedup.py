@@ -315,5 +315,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", min_bytes: int = MIN_BYT
     body = text_or_empty(f"`{text}`")
     rows = kept_columns.select(F.struct("*").alias("row"), *text_key(body))
     joined = rows.join(of_text, ["k1", "k2"], "left")
-    found = joined.select("row", cut(text_or_empty(F.col("row").getField(text)), "starts", "ends").alias("f"))
+    # Not to be worked out a second time where a caller filters by its numbers.
+    once = cut.asNondeterministic()
+    found = joined.select("row", once(text_or_empty(F.col("row").getField(text)), "starts", "ends").alias("f"))
     return found.select(*[F.col(f"row.`{c}`").alias(c) for c in kept_columns.columns], "f.*")
