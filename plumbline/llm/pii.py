@@ -4,7 +4,9 @@ Base spans (email, ip, card, phone) are found by patterns in every whole text. E
 entity. How strongly a term reveals an entity is estimated from the corpus: the pointwise mutual information of the
 term and the entity, log2(N n_et / (n_e n_t)), as a share of what there is to know about the entity, -log2(n_e / N).
 Here N counts documents, n_t those that hold the term, n_e those that hold the entity, and n_et those that hold the term
-near the entity. Where the share reaches a threshold, the term's occurrences near that entity become spans of their
+near the entity. Small counts are smoothed: n_et / n_t is drawn towards n_e / N with the weight s / (n_et^2 + s), so that
+one meeting in a large corpus counts for something and one in a small corpus for little. Entities of a single document are
+judged like all others. Where the share reaches a threshold, the term's occurrences near that entity become spans of their
 own: above the lower threshold they are generalised, above the upper one removed.
 
 Documents without base spans have no entity to protect and stay as they are.
@@ -32,7 +34,7 @@ TERM = "term"
 TERM_PATTERN = r"\p{L}+"
 SHORTEST_TERM = 3
 NEARBY = 200  # characters on either side of an entity
-LEAST_TEXTS = 3  # different texts in which a term must stand near an entity
+SMOOTHING = 6  # at this many meetings squared, a term's share of an entity and the entity's own share weigh the same
 GENERALISE, REMOVE = 0.6, 0.9
 BLOCK = 64
 PLACEHOLDERS = {"email": "[EMAIL]", "ip": "[IP]", "card": "[CARD]", "phone": "[PHONE]"}
@@ -132,18 +134,18 @@ def _near_terms(texts: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(
-    near: DataFrame, docs: DataFrame, text: str, least_texts: int, generalise: float, remove: float
+    near: DataFrame, docs: DataFrame, text: str, smoothing: float, generalise: float, remove: float
 ) -> DataFrame:
     """``entity, term, action`` of the terms that reveal an entity, counted over all documents."""
     n_docs = docs.count()
     pairs = near.select("k1", "k2", "copies", "entity", "term").distinct()
-    together = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"), F.count("*").alias("texts"))
-    together = together.where(F.col("texts") >= least_texts)
+    together = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"))
     entities = near.select("k1", "k2", "copies", "entity").distinct().groupBy("entity").agg(F.sum("copies").alias("n_e"))
     words = F.array_distinct(F.split(F.lower(text_or_empty(text)), r"[^\p{L}]+"))
     terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(max(n_docs, 1)))
-    share = F.log2(n * F.col("n_et") / (F.col("n_e") * F.col("n_t"))) / -F.log2(F.col("n_e") / n)
+    rate, weight = F.col("n_e") / n, F.col("n_et") * F.col("n_et") / (F.col("n_et") * F.col("n_et") + F.lit(float(smoothing)))
+    share = F.log2((weight * F.col("n_et") / F.col("n_t") + (1 - weight) * rate) / rate) / F.nullif(-F.log2(rate), F.lit(0.0))
     return (
         together.join(entities, "entity")
         .join(terms, "term")
@@ -157,7 +159,7 @@ def disclosing_terms(
 def sanitise(
     docs: DataFrame,
     text: str = "text",
-    least_texts: int = LEAST_TEXTS,
+    smoothing: float = SMOOTHING,
     generalise: float = GENERALISE,
     remove: float = REMOVE,
 ) -> DataFrame:
@@ -166,8 +168,7 @@ def sanitise(
     A span has ``start`` and ``end`` (code points, end exclusive), ``kind``, ``value`` and ``action``; lists are ordered
     by start, then kind as listed, terms last. ``clean_text`` has base spans replaced by placeholders, disclosing terms
     by ``[TERM]`` or nothing; a span that begins inside an earlier one is covered with it. A null or empty text has no
-    spans, and a null text stays null. Texts are searched whole. Rows with equal texts count as documents each, but a term
-    needs ``least_texts`` different texts. Columns of the same names as those added are replaced.
+    spans, and a null text stays null. Texts are searched whole. Rows with equal texts count as documents each. Columns of the same names as those added are replaced.
     """
     rows = without(docs, ADDED)
     columns = rows.columns
@@ -179,7 +180,7 @@ def sanitise(
     keyed = holding.select(*text_key(F.col("text")), "text", "base").groupBy("k1", "k2")
     texts = stored(keyed.agg(F.first("text").alias("text"), F.first("base").alias("base"), F.count("*").alias("copies")))
     near = _near_terms(texts)
-    flagged = disclosing_terms(near, bare, "text", least_texts, generalise, remove)
+    flagged = disclosing_terms(near, bare, "text", smoothing, generalise, remove)
     term = F.struct(
         F.col("start"), F.lit(len(KINDS)).alias("rank"), F.col("end"), F.lit(TERM).alias("kind"), F.col("term").alias("value"), "action"
     ).cast(SPAN)

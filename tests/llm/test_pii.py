@@ -101,5 +101,13 @@ def test_terms_that_reveal_an_entity(spark):
     assert all(s["kind"] != "term" for i in range(6, len(texts)) for s in rows[i]["spans"])
 
 
+def test_entities_of_one_text_are_judged(spark):
+    texts = ["the ledger of Zorblax ann@x.org", *["the common text with nothing in it"] * 2_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    row = sanitise(docs).where("doc_id = 0").first()
+    assert [(s["value"], s["action"]) for s in row["spans"] if s["kind"] == "term"] == [("ledger", "generalise"), ("zorblax", "generalise")]
+    assert row["clean_text"] == "the [TERM] of [TERM] [EMAIL]"
+
+
 def test_empty_table(spark):
     assert sanitise(spark.createDataFrame([], "doc_id long, text string")).count() == 0
