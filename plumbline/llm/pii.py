@@ -134,13 +134,14 @@ def _near_terms(texts: DataFrame) -> DataFrame:
 
 
 def disclosing_terms(
-    near: DataFrame, docs: DataFrame, text: str, smoothing: float, generalise: float, remove: float
+    near: DataFrame, texts: DataFrame, docs: DataFrame, text: str, smoothing: float, generalise: float, remove: float
 ) -> DataFrame:
     """``entity, term, action`` of the terms that reveal an entity, counted over all documents."""
     n_docs = docs.count()
     pairs = near.select("k1", "k2", "copies", "entity", "term").distinct()
     together = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"))
-    entities = near.select("k1", "k2", "copies", "entity").distinct().groupBy("entity").agg(F.sum("copies").alias("n_e"))
+    held = texts.select("copies", F.explode(F.expr("array_distinct(transform(base, s -> s.value))")).alias("entity"))
+    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e"))
     words = F.array_distinct(F.split(F.lower(text_or_empty(text)), r"[^\p{L}]+"))
     terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     n = F.lit(float(max(n_docs, 1)))
@@ -180,7 +181,7 @@ def sanitise(
     keyed = holding.select(*text_key(F.col("text")), "text", "base").groupBy("k1", "k2")
     texts = stored(keyed.agg(F.first("text").alias("text"), F.first("base").alias("base"), F.count("*").alias("copies")))
     near = _near_terms(texts)
-    flagged = disclosing_terms(near, bare, "text", smoothing, generalise, remove)
+    flagged = disclosing_terms(near, texts, bare, "text", smoothing, generalise, remove)
     term = F.struct(
         F.col("start"), F.lit(len(KINDS)).alias("rank"), F.col("end"), F.lit(TERM).alias("kind"), F.col("term").alias("value"), "action"
     ).cast(SPAN)
