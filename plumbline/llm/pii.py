@@ -3,11 +3,15 @@
 Base spans (email, ip, card, phone) are found by patterns in every whole text. Each different value is a protected
 entity. How strongly a term reveals an entity is estimated from the corpus: the pointwise mutual information of the
 term and the entity, log2(N n_et / (n_e n_t)), as a share of what there is to know about the entity, -log2(n_e / N).
-Here N counts documents, n_t those that hold the term, n_e those that hold the entity, and n_et those that hold the term
-near the entity. Small counts are smoothed: n_et / n_t is drawn towards n_e / N with the weight s / (n_et^2 + s), so that
+Here N counts documents, n_t those that hold the term, n_e those that hold the entity, and n_et those that hold both,
+wherever in the text. Small counts are smoothed: n_et / n_t is drawn towards n_e / N with the weight s / (n_et^2 + s), so that
 one meeting in a large corpus counts for something and one in a small corpus for little. Entities of a single document are
-judged like all others. Where the share reaches a threshold, the term's occurrences near that entity become spans of their
-own: above the lower threshold they are generalised, above the upper one removed.
+judged like all others. Where the share reaches a threshold, all occurrences of the term in texts that hold the entity become
+spans of their own, save those in base spans: above the lower threshold they are generalised, above the upper one removed.
+
+Entities that stand in the same texts are one class: their counts are equal with every term. Most entities stand in a
+single text, and there n_et is n_e, so nothing need be counted together. For the rest, a bound on n_t that no disclosing
+term exceeds, as n_et is at most n_e, keeps frequent words out of the pairs; it loses none.
 
 Documents without base spans have no entity to protect and stay as they are.
 """
@@ -17,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.llm.common import stored, text_key, text_or_empty, without
+from plumbline.llm.common import hinted, stored, text_key, text_or_empty, without
 
 # The contract's patterns. Possessive repeats and the guards in front of them match the same spans; they
 # keep the search linear and free of recursion on very long texts.
@@ -33,7 +37,6 @@ NEEDS = {"email": "@", "ip": ".", "phone": "+"}
 TERM = "term"
 TERM_PATTERN = r"\p{L}+"
 SHORTEST_TERM = 3
-NEARBY = 200  # characters on either side of an entity
 SMOOTHING = 6  # at this many meetings squared, a term's share of an entity and the entity's own share weigh the same
 GENERALISE, REMOVE = 0.6, 0.9
 BLOCK = 64
@@ -106,55 +109,83 @@ def _with_base(df: DataFrame, text: str) -> DataFrame:
     return df.withColumn("base", base).drop(*[f"__{k}" for k in KINDS])
 
 
-def _near_terms(texts: DataFrame) -> DataFrame:
-    """``k1, k2, copies, entity, term, start, end``: each term that stands near an entity and is no part of a base span."""
-    near = f"transform(filter(base, o -> o.end > s.start - {NEARBY} AND o.start < s.end + {NEARBY}), o -> struct(o.start, o.end))"
-    # What stands before and after a span; a word that is cut at the far end is left out.
-    sides = f"""array(
-        struct(greatest(0, s.start - {NEARBY}) AS left, s.start AS right, IF(s.start > {NEARBY}, s.start - {NEARBY}, -1) AS cut),
-        struct(s.end AS left, s.end + {NEARBY} AS right, IF(s.end + {NEARBY} < length(text), s.end + {NEARBY}, -1) AS cut))"""
-    around = texts.select(
-        "k1", "k2", "copies", F.explode(F.expr(
-            f"flatten(transform(base, s -> transform({sides}, w -> struct(s.value AS entity, {near} AS near, w.left AS left, w.cut AS cut, "
-            "substr(text, int(w.left + 1), int(w.right - w.left)) AS window))))"
-        )).alias("b")
-    ).select("k1", "k2", "copies", "b.*")
-    found = _find(around, "window", TERM_PATTERN, "t").drop("window")
-    terms = found.select("k1", "k2", "copies", "entity", "near", "left", "cut", F.explode("t").alias("t")).select(
-        "k1", "k2", "copies", "entity", "near", "cut", F.lower("t.m").alias("term"),
-        (F.col("left") + F.col("t.at")).alias("start"), (F.col("left") + F.col("t.at") + F.length("t.m")).alias("end"),
-    )
-    whole = (
-        (F.col("start") != F.col("cut"))
-        & (F.col("end") != F.col("cut"))
-        & (F.length("term") >= SHORTEST_TERM)
-        & F.expr("NOT exists(near, o -> o.end > start AND o.start < end)")
-    )
-    return terms.where(whole).select("k1", "k2", "copies", "entity", "term", "start", "end")
+def _words(text: str) -> Column:
+    """The different terms of a text in lower case."""
+    every = F.transform(F.regexp_extract_all(F.col(text), F.lit(TERM_PATTERN), F.lit(0)), F.lower)
+    return F.array_distinct(F.filter(every, lambda w: F.length(w) >= SHORTEST_TERM))
+
+
+def _classes(texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``k1, k2, c1, c2, n_e`` of the classes in each text: those that stand in this text only, and the others.
+
+    A class is named by the exclusive or of the keys of its texts; that of a single text has the text's own.
+    """
+    held = texts.select("k1", "k2", "copies", F.explode(F.expr("array_distinct(transform(base, s -> s.value))")).alias("entity"))
+    entities = stored(held.groupBy("entity").agg(
+        F.sum("copies").alias("n_e"), F.count("*").alias("texts"), F.bit_xor("k1").alias("c1"), F.bit_xor("k2").alias("c2")
+    ))
+    single = entities.where("texts = 1").select(F.col("c1").alias("k1"), F.col("c2").alias("k2"), "c1", "c2", "n_e").distinct()
+    several = entities.where("texts > 1").drop("texts")
+    size = several.select(F.sum(F.octet_length("entity") + 40)).first()[0] or 0
+    shared = held.drop("copies").join(hinted(several, size), "entity").select("k1", "k2", "c1", "c2", "n_e").distinct()
+    return stored(single), stored(shared)
 
 
 def disclosing_terms(
-    near: DataFrame, texts: DataFrame, docs: DataFrame, text: str, smoothing: float, generalise: float, remove: float
+    texts: DataFrame, docs: DataFrame, text: str, smoothing: float, generalise: float, remove: float
 ) -> DataFrame:
-    """``entity, term, action`` of the terms that reveal an entity, counted over all documents."""
-    n_docs = docs.count()
-    pairs = near.select("k1", "k2", "copies", "entity", "term").distinct()
-    together = pairs.groupBy("entity", "term").agg(F.sum("copies").alias("n_et"))
-    held = texts.select("copies", F.explode(F.expr("array_distinct(transform(base, s -> s.value))")).alias("entity"))
-    entities = held.groupBy("entity").agg(F.sum("copies").alias("n_e"))
-    words = F.array_distinct(F.split(F.lower(text_or_empty(text)), r"[^\p{L}]+"))
-    terms = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    n = F.lit(float(max(n_docs, 1)))
-    rate, weight = F.col("n_e") / n, F.col("n_et") * F.col("n_et") / (F.col("n_et") * F.col("n_et") + F.lit(float(smoothing)))
-    share = F.log2((weight * F.col("n_et") / F.col("n_t") + (1 - weight) * rate) / rate) / F.nullif(-F.log2(rate), F.lit(0.0))
-    return (
-        together.join(entities, "entity")
-        .join(terms, "term")
-        .where(F.col("n_e") < n)
-        .withColumn("share", share)
-        .where(F.col("share") >= generalise)
-        .select("entity", "term", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action"))
-    )
+    """``k1, k2, term, action`` of the terms that reveal an entity of the text, counted over all documents."""
+    n = float(max(docs.count(), 1))
+    rate = F.col("n_e") / F.lit(n)
+
+    def weight(count: str) -> Column:
+        return F.col(count) * F.col(count) / (F.col(count) * F.col(count) + F.lit(float(smoothing)))
+
+    # The most documents a term may stand in to reach the lower threshold; a little more for rounding.
+    least = F.pow(rate, F.lit(1.0 - generalise)) - (1 - weight("n_e")) * rate
+    bound = F.when(least > 0, F.least(F.lit(n), weight("n_e") * F.col("n_e") / F.nullif(least, F.lit(0.0)) * 1.000001)).otherwise(n)
+    single, shared = [c.where(F.col("n_e") < n).withColumn("bound", bound) for c in _classes(texts)]
+    most = stored(single.select("k1", "k2", "bound").union(shared.select("k1", "k2", "bound")).groupBy("k1", "k2").agg(F.max("bound").alias("bound")))
+    top = most.agg(F.max("bound")).first()[0] or 0.0
+
+    counts = stored(docs.select(F.explode(_words(text)).alias("term")).groupBy("term").agg(F.count("*").alias("n_t")))
+    frequent = counts.where(F.col("n_t") > top).select("term")
+    size = frequent.select(F.sum(F.octet_length("term") + 16)).first()[0] or 0
+    words = texts.join(most, ["k1", "k2"]).select("k1", "k2", "copies", "bound", F.explode(_words("text")).alias("term"))
+    rare = words.join(hinted(frequent, size), "term", "left_anti").join(counts.where(F.col("n_t") <= top), "term")
+    rare = stored(rare.where(F.col("n_t") <= F.col("bound")).drop("bound"))
+
+    share = F.log2((weight("n_et") * F.col("n_et") / F.col("n_t") + (1 - weight("n_et")) * rate) / rate) / F.nullif(-F.log2(rate), F.lit(0.0))
+
+    def judged(pairs: DataFrame) -> DataFrame:
+        strong = pairs.withColumn("share", share).where(F.col("share") >= generalise)
+        return strong.withColumn("action", F.when(F.col("share") >= remove, "remove").otherwise("generalise"))
+
+    fits = F.col("n_t") <= F.col("bound")
+    alone = judged(rare.join(single, ["k1", "k2"]).where(fits).withColumn("n_et", F.col("n_e")))
+    pairs = stored(rare.join(shared, ["k1", "k2"]).where(fits).select("k1", "k2", "copies", "c1", "c2", "n_e", "term", "n_t"))
+    together = pairs.groupBy("c1", "c2", "term").agg(F.sum("copies").alias("n_et"), F.first("n_e").alias("n_e"), F.first("n_t").alias("n_t"))
+    flagged = stored(judged(together).select("c1", "c2", "term", "action"))
+    size = flagged.select(F.sum(F.octet_length("term") + 48)).first()[0] or 0
+    met = pairs.select("k1", "k2", "c1", "c2", "term").join(hinted(flagged, size), ["c1", "c2", "term"])
+    # With two entities the stronger action holds: of "generalise" and "remove" the larger word.
+    found = alone.select("k1", "k2", "term", "action").union(met.select("k1", "k2", "term", "action"))
+    return found.groupBy("k1", "k2", "term").agg(F.max("action").alias("action"))
+
+
+def _occurrences(texts: DataFrame, flagged: DataFrame) -> DataFrame:
+    """``k1, k2, terms``: the spans of all occurrences of a text's flagged terms."""
+    held = flagged.select("k1", "k2").distinct()
+    found = _find(texts.join(held, ["k1", "k2"]), "text", TERM_PATTERN, "t").select("k1", "k2", F.explode("t").alias("t"))
+    at = found.select(
+        "k1", "k2", F.lower("t.m").alias("term"), F.col("t.at").alias("start"), (F.col("t.at") + F.length("t.m")).alias("end")
+    )
+    size = flagged.select(F.sum(F.octet_length("term") + 48)).first()[0] or 0
+    marked = at.where(F.length("term") >= SHORTEST_TERM).join(hinted(flagged, size), ["k1", "k2", "term"])
+    term = F.struct(
+        F.col("start"), F.lit(len(KINDS)).alias("rank"), F.col("end"), F.lit(TERM).alias("kind"), F.col("term").alias("value"), "action"
+    ).cast(SPAN)
+    return marked.groupBy("k1", "k2").agg(F.collect_list(term).alias("terms"))
 
 
 def sanitise(
@@ -180,19 +211,14 @@ def sanitise(
     holding = _with_base(bare, "text").where(F.size("base") > 0)
     keyed = holding.select(*text_key(F.col("text")), "text", "base").groupBy("k1", "k2")
     texts = stored(keyed.agg(F.first("text").alias("text"), F.first("base").alias("base"), F.count("*").alias("copies")))
-    near = _near_terms(texts)
-    flagged = disclosing_terms(near, texts, bare, "text", smoothing, generalise, remove)
-    term = F.struct(
-        F.col("start"), F.lit(len(KINDS)).alias("rank"), F.col("end"), F.lit(TERM).alias("kind"), F.col("term").alias("value"), "action"
-    ).cast(SPAN)
-    # Near two entities the stronger action holds: of "generalise" and "remove" the larger word.
-    strongest = near.join(flagged, ["entity", "term"]).groupBy("k1", "k2", "start", "end", "term").agg(F.max("action").alias("action"))
-    terms = strongest.groupBy("k1", "k2").agg(F.collect_list(term).alias("terms"))
+    flagged = stored(disclosing_terms(texts, bare, "text", smoothing, generalise, remove))
+    terms = _occurrences(texts, flagged)
 
     joined = found.select("row", "text", "base", *text_key(F.col("text"))).join(terms, ["k1", "k2"], "left")
-    spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "terms")))
+    spans = F.when(F.col("terms").isNull(), F.col("base")).otherwise(F.array_sort(F.concat("base", "apart")))
     counts = [F.expr(f"bigint(size(filter(base, s -> s.kind = '{k}')))").alias(f"n_{k}") for k in KINDS]
-    joined = joined.withColumn("spans", spans)
+    apart = F.expr("filter(terms, t -> NOT exists(base, o -> o.end > t.start AND o.start < t.end))")
+    joined = joined.withColumn("apart", apart).withColumn("spans", spans)
     return joined.select(
         *[F.col(f"row.`{c}`").alias(c) for c in columns], *counts, F.col("base").alias("base_spans"), "spans",
         F.when(F.col(f"row.`{text}`").isNotNull(), _redacted()).alias("clean_text"),
@@ -200,8 +226,11 @@ def sanitise(
 
 
 def _redacted() -> Column:
-    apart = "filter(spans, (s, i) -> NOT exists(slice(spans, 1, i), p -> p.end > s.start))"
-    covered = f"transform({apart}, s -> struct(s, array_max(transform(filter(spans, p -> p.start < s.end AND p.end > s.start), p -> p.end)) AS through))"
+    apart = "filter(base, (s, i) -> NOT exists(slice(base, 1, i), p -> p.end > s.start))"
+    covered = f"transform({apart}, s -> struct(s, array_max(transform(filter(base, p -> p.start < s.end AND p.end > s.start), p -> p.end)) AS through))"
+    # Terms meet no other span.
+    alone = "transform(coalesce(apart, array()), s -> struct(s, s.end AS through))"
+    covered = f"array_sort(concat({covered}, {alone}))"
     mark = "CASE " + " ".join(f"WHEN k.s.kind = '{k}' THEN '{v}'" for k, v in PLACEHOLDERS.items())
     mark += " WHEN k.s.action = 'generalise' THEN '[TERM]' ELSE '' END"
     pieces = (

@@ -1,6 +1,7 @@
 """Base spans against a plain search, terms against a plain count."""
 
 import math
+import random
 import re
 
 from plumbline.llm.pii import KINDS, sanitise, span_list
@@ -119,5 +120,64 @@ def test_all_documents_that_hold_an_entity_count(spark):
     assert terms == {(True, "ledger", "generalise")}
 
 
+def test_terms_far_from_the_entity(spark):
+    far = " ".join(["common"] * 100)
+    texts = [f"Zorblax {far} ann@x.org Zorblax"] * 3 + [f"ZORBLAX, {far} {far} ann@x.org {w}" for w in ("one", "two")]
+    texts += [f"{far} bob@x.org zorblax@y.org"] + [far] * 100
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r for r in sanitise(docs).collect()}
+    n, n_e, n_et, n_t = len(texts), 5, 5, 6
+    weight = n_et**2 / (n_et**2 + 6)
+    share = math.log2((weight * n_et / n_t + (1 - weight) * n_e / n) * n / n_e) / math.log2(n / n_e)
+    assert 0.6 <= share < 0.9
+    for i in range(5):
+        terms = [(s["start"], s["value"], s["action"]) for s in rows[i]["spans"] if s["value"] == "zorblax"]
+        assert [t[0] for t in terms] == [m.start() for m in re.finditer("zorblax", texts[i].lower())]
+        assert {t[1:] for t in terms} == {("zorblax", "generalise")}
+        assert rows[i]["clean_text"].startswith("[TERM]") and "orblax" not in rows[i]["clean_text"]
+    assert rows[5]["clean_text"] == f"{far} [EMAIL] [EMAIL]"
+    assert all(not rows[i]["spans"] for i in range(6, n))
+
+
+def plain_terms(texts):
+    """Terms and actions of each text by counting every pair."""
+    words = [set(re.findall(r"[^\W\d_]{3,}", t.lower())) for t in texts]
+    entities = [{m.group().lower() for m in re.finditer(PATTERNS["email"], t)} for t in texts]
+    n, out = len(texts), []
+    for ws, es in zip(words, entities, strict=True):
+        found = {}
+        for e in es:
+            holds = [e in other for other in entities]
+            for w in ws:
+                n_e, n_t = sum(holds), sum(w in other for other in words)
+                n_et = sum(h and w in other for h, other in zip(holds, words, strict=True))
+                weight = n_et**2 / (n_et**2 + 6)
+                share = math.log2((weight * n_et / n_t + (1 - weight) * n_e / n) * n / n_e) / -math.log2(n_e / n)
+                if share >= 0.6:
+                    found[w] = max(found.get(w, ""), "remove" if share >= 0.9 else "generalise")
+        out.append(found)
+    return out
+
+
+def test_terms_equal_a_plain_count(spark):
+    rng = random.Random(4)
+    letters = "bcdfghjklm"
+    names = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(150)]
+    texts = []
+    for _ in range(300):
+        body = [names[min(rng.randrange(150), rng.randrange(150))] for _ in range(rng.randrange(1, 12))]
+        body += [f"{rng.randrange(12)}@1.2" for _ in range(rng.choice([0, 0, 0, 1, 2, 3]))]
+        body += [f"{rng.randrange(10**6)}@3.4" for _ in range(rng.choice([0, 0, 0, 1, 2]))]
+        rng.shuffle(body)
+        texts += [" ".join(body)] * rng.choice([1, 1, 1, 2, 5])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    expected, kinds = plain_terms(texts), set()
+    for r in sanitise(docs).collect():
+        got = {s["value"]: s["action"] for s in r["spans"] if s["kind"] == "term"}
+        assert got == expected[r["doc_id"]], r["doc_id"]
+        kinds |= set(got.values())
+    assert kinds == {"generalise", "remove"}
+
+
 def test_empty_table(spark):
     assert sanitise(spark.createDataFrame([], "doc_id long, text string")).count() == 0
