@@ -116,7 +116,8 @@ def contaminated_texts(
     alike = counts.groupBy(*pair).agg(F.sum(F.least("a", "b")).alias("both"), F.sum(F.greatest("a", "b")).alias("any"))
     matches = alike.where(F.col("both") * 100 >= F.col("any") * percent).select(*pair, (F.col("both") / F.col("any")).alias("similarity"))
     held = placed.select("k1", "k2", *window).join(matches, window).join(items.select("item", "ids"), "item")
-    return held.select("k1", "k2", F.explode("ids").alias("id"), "similarity").groupBy("k1", "k2").agg(
+    # Items without id have no ids here; the text is held against them all the same.
+    return held.select("k1", "k2", F.explode_outer("ids").alias("id"), "similarity").groupBy("k1", "k2").agg(
         F.sort_array(F.collect_set("id")).alias("items"), F.max("similarity").alias("similarity")
     )
 

@@ -65,6 +65,14 @@ def test_equals_brute_force(spark):
     assert held > 30
 
 
+def test_items_without_id(spark):
+    alone, shared = "an item that has no id of its own", "an item once with and once without an id"
+    items = spark.createDataFrame([(None, alone), (None, shared), (4, shared)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"so {alone} too"), (2, shared), (3, f"{alone} {shared}"), (4, "nothing")], "doc_id long, text string")
+    got = {r.doc_id: (r.contaminated, r["items"], r.similarity) for r in decontaminate(docs, items).collect()}
+    assert got == {1: (True, [], 1.0), 2: (True, [4], 1.0), 3: (True, [4], 1.0), 4: (False, [], None)}
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "some text of a document here")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "some text of a document here")], "item_id long, text string")
