@@ -4,8 +4,8 @@
 DataFrame; all but the last return the columns of ``documents``. ``run`` writes each stage's rows to the shared folder and
 reads them again, so that a lost executor costs one stage at most.
 
-Missing ids, null and empty texts are handled as the operators say. Here a null text goes at the first stage, and rows
-without id are kept by the third where no row of their group has one.
+Missing ids, null and empty texts are handled as the operators say. Here a null text goes at the first stage, and the
+third leaves one row of each group, also where ids are missing or repeated.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from plumbline.llm.common import stored
 from plumbline.llm.decontaminate import decontaminate
 from plumbline.llm.language_id import UNDETERMINED, identify_languages
 from plumbline.llm.line_dedup import dedup_lines
-from plumbline.llm.near_dedup import near_duplicates
+from plumbline.llm.near_dedup import one_of_each
 from plumbline.llm.packing import pack_documents
 from plumbline.llm.queries import learned, word_count
 
@@ -39,7 +39,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates."""
-    return near_duplicates(docs).where("kept OR component_id IS NULL").select(docs.columns)
+    return one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

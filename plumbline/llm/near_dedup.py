@@ -205,6 +205,20 @@ def _groups(docs: DataFrame, nodes: DataFrame, text: str, shingle: int, percent:
     return of.join(merged, "component", "left").select("id", F.coalesce("joined", "component").alias("component"))
 
 
+def _labelled(
+    docs: DataFrame, text: str, doc_id: str, shingle: int, percent: int, permutations: int, band: int
+) -> tuple[DataFrame, DataFrame]:
+    """The signatures of every row, and ``s1, s2, id, least_doc, component`` of every set that isn't empty."""
+    bounded_batches(docs.sparkSession)
+    signatures = stored(_signatures(docs, text, doc_id, shingle, permutations, band))
+    by_set = signatures.where("n > 0").groupBy("s1", "s2", "n")
+    nodes = by_set.agg(F.first("bands").alias("bands"), F.first("parity").alias("parity"), F.min("doc_id").alias("least_doc"), F.min(F.struct("k1", "k2")).alias("key"))
+    nodes = stored(nodes.select("s1", "s2", "n", "bands", "parity", "least_doc", "key.*").withColumn("id", F.monotonically_increasing_id()))
+    groups = stored(_groups(docs, nodes, text, shingle, percent))
+    labelled = nodes.select("s1", "s2", "id", "least_doc").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    return signatures, stored(labelled)
+
+
 def near_duplicates(
     docs: DataFrame,
     text: str = "text",
@@ -224,15 +238,8 @@ def near_duplicates(
     has no shingles; if no row of a component has an id, ``component_id`` is null. Rows with equal ids are one document: they
     are kept or not together. Columns of the names added are replaced. An empty table gives an empty result.
     """
-    bounded_batches(docs.sparkSession)
     kept_columns = without(docs, ADDED)
-    signatures = stored(_signatures(docs, text, doc_id, shingle, permutations, band))
-    by_set = signatures.where("n > 0").groupBy("s1", "s2", "n")
-    nodes = by_set.agg(F.first("bands").alias("bands"), F.first("parity").alias("parity"), F.min("doc_id").alias("least_doc"), F.min(F.struct("k1", "k2")).alias("key"))
-    nodes = stored(nodes.select("s1", "s2", "n", "bands", "parity", "least_doc", "key.*").withColumn("id", F.monotonically_increasing_id()))
-    groups = stored(_groups(docs, nodes, text, shingle, percent))
-    labelled = nodes.select("s1", "s2", "id", "least_doc").join(groups, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    labelled = stored(labelled)
+    signatures, labelled = _labelled(docs, text, doc_id, shingle, percent, permutations, band)
     least = labelled.groupBy("component").agg(F.min("least_doc").alias("group_doc"))
     of_set = labelled.join(least, "component").select("s1", "s2", "group_doc")
     texts = signatures.select("k1", "k2", "n", "s1", "s2").distinct().join(of_set, ["s1", "s2"], "left")
@@ -245,3 +252,36 @@ def near_duplicates(
         *[F.col(f"row.`{c}`").alias(c) for c in kept_columns.columns], F.col("n").alias("n_shingles"), component.alias("component_id"),
         ((F.col("n") == 0) | F.coalesce(own == F.col("group_doc"), F.lit(False))).alias("kept"),
     )
+
+
+def one_of_each(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    shingle: int = SHINGLE,
+    percent: int = PERCENT,
+    permutations: int = PERMUTATIONS,
+    band: int = BAND,
+) -> DataFrame:
+    """One row of each component of ``near_duplicates``, and every row whose text has no shingles.
+
+    The row of the smallest ``doc_id`` stays, nulls last; of several the one whose text has the smallest key, and any one of
+    rows equal in id and text. So copies go also where ids are missing or repeated. Columns are those of ``docs``.
+    """
+    signatures, labelled = _labelled(docs, text, doc_id, shingle, percent, permutations, band)
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "k1", "k2")
+    of_set = signatures.where("n > 0").groupBy("s1", "s2").agg(F.min(place).alias("first"))
+    of_component = of_set.join(labelled.select("s1", "s2", "component"), ["s1", "s2"]).groupBy("component").agg(F.min("first").alias("first"))
+    firsts = stored(of_component.select("first.k1", "first.k2", F.col("first.doc_id").alias("first_doc")))
+    size = firsts.count() * 40
+    equal = signatures.select("k1", "k2", "doc_id").join(hinted(firsts, size), ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("first_doc")))
+    counted = equal.groupBy("k1", "k2", "first_doc").agg((F.count("*") > 1).alias("several")).withColumn("blank", F.lit(False))
+    blank = signatures.where("n = 0").select("k1", "k2").distinct()
+    blank = blank.select("k1", "k2", F.lit(None).cast(firsts.schema["first_doc"].dataType).alias("first_doc"), F.lit(False).alias("several"), F.lit(True).alias("blank"))
+    chosen = stored(counted.union(blank))
+
+    rows = docs.select(F.struct("*").alias("row"), *text_key(text_or_empty(f"`{text}`")))
+    stay = F.col("blank") | F.col(f"row.`{doc_id}`").eqNullSafe(F.col("first_doc"))
+    found = rows.join(hinted(chosen, size), ["k1", "k2"]).where(stay)
+    merged = found.where("several").groupBy("k1", "k2").agg(F.first("row").alias("row")).select("row")
+    return found.where("NOT several").select("row").union(merged).select("row.*")

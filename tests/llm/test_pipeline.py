@@ -59,6 +59,22 @@ def test_stages(spark):
     assert sorted(r.doc_id for r in corpus_pipeline.run(spark, SF_DIR).collect()) == sorted(r.doc_id for r in rows)
 
 
+def test_one_of_each_group_stays(spark):
+    body = "some words of a text that stands in this table more than once and so belongs to a group of its own"
+    near_body, other = body.replace("some", "a few"), "another text that nobody has copied and that says something else altogether here"
+    rows = [(None, body)] * 50 + [(None, f"{body} {body}")] + [(7, near_body)] * 3 + [(8, near_body)] + [(None, other)] * 5
+    rows += [(9, "left alone by all of the others since no word of it is anywhere else"), (3, ""), (None, None)]
+    docs = spark.createDataFrame([(d, t, "en", "s", 1) for d, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_dedup(spark, docs.repartition(5), SF_DIR)
+    assert got.columns == COLUMNS
+    groups = {d: c for d, _, c, _ in near([r for r in rows if r[0] != 8], 5)}
+    assert groups[7] == 7
+    expected = [(7, near_body), (None, other), rows[-3], rows[-2], rows[-1]]
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    twice = corpus_pipeline.near_dedup(spark, docs.where("doc_id = 9").union(docs.where("doc_id = 9")), SF_DIR)
+    assert [r.doc_id for r in twice.collect()] == [9]
+
+
 @pytest.mark.parametrize("rows", [[], [(None, None, None, None, None), (None, "a few words that stand alone here", "en", "s", 1), (3, "", "en", None, 0)]])
 def test_nulls_and_empty_tables(spark, rows):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
