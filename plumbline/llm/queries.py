@@ -7,12 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import decontaminate, language_id, line_dedup, near_dedup, neighbours, packing, pii, sharding, suffix_dedup, token_counts
+from plumbline.llm import (
+    decontaminate,
+    language_id,
+    line_dedup,
+    near_dedup,
+    neighbours,
+    packing,
+    pii,
+    ranked_search,
+    sharding,
+    suffix_dedup,
+    token_counts,
+)
 from plumbline.llm.common import SPACES, text_or_empty
 
 SHARDS = 8
 NEIGHBOURS = 20
 QUERY_EVERY = 20
+BEST = 10
 NEAR_PERCENT = near_dedup.PERCENT
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
 
@@ -97,9 +110,13 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), BEST)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op8_suffix_dedup, op9_token_counts, op10_language_id)
+    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op8_suffix_dedup, op9_token_counts, op10_language_id, op12_ranked_search)
 }
 
 SQL: dict[str, str] = {}
@@ -168,3 +185,26 @@ links AS (
 ), least AS (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a)
 SELECT doc_id, len(s)::BIGINT AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN least USING (doc_id)
 """
+
+SQL["op12_ranked_search"] = f"""
+WITH terms AS (
+  SELECT *, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+'), lambda t: t <> '') AS t
+  FROM (SELECT 'd' AS side, row_number() OVER () AS no, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'i', row_number() OVER (), item_id, text FROM benchmark)
+), corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM terms WHERE side = 'd' AND len(t) > 0),
+counts AS (SELECT side, no, id, len(t) AS n, unnest(t) AS term FROM terms),
+tf AS (SELECT side, no, id, n, term, count(*) AS tf FROM counts GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM tf, corpus WHERE side = 'd' GROUP BY term
+), scored AS (
+  SELECT i.no AS item, i.id AS item_id, d.id AS doc_id, sum(i.tf * w
+    * ((1000000000 * d.tf) // (1000 * d.tf + 8 * (25 + (75 * d.n * n_docs) // n_terms))))::BIGINT AS score
+  FROM tf i JOIN tf d ON i.term = d.term AND i.side = 'i' AND d.side = 'd' JOIN weights ON weights.term = i.term, corpus
+  GROUP BY i.no, i.id, d.no, d.id
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS n FROM scored WHERE score > 0
+)
+SELECT item_id, n::INTEGER AS rank, doc_id, score FROM ranked WHERE n <= {BEST}
+"""
