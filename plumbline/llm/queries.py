@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.llm import (
+    cross_tokens,
     decontaminate,
+    html_text,
     language_id,
     line_dedup,
     near_dedup,
@@ -28,6 +30,7 @@ QUERY_EVERY = 20
 BEST = 10
 NEAR_PERCENT = near_dedup.PERCENT
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -110,13 +113,22 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    return cross_tokens.align_tokens(docs, BYTE_LEVEL, PIECES, digest=True).withColumnRenamed("groups", "groups_sha256")
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search_documents(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"), BEST)
 
 
+def op13_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(_read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op8_suffix_dedup, op9_token_counts, op10_language_id, op12_ranked_search)
+    for f in (op1_decontamination, op2_line_dedup, op3_byte_range_shards, op4_disclosure_pii, op5_nearest_neighbours, op6_minmax_near_dedup, op7_best_fit_packing, op8_suffix_dedup, op9_token_counts, op10_language_id, op11_token_alignment, op12_ranked_search, op13_main_text)
 }
 
 SQL: dict[str, str] = {}

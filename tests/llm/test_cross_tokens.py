@@ -1,0 +1,118 @@
+"""Alignments against the public libraries on whole texts."""
+
+import hashlib
+import os
+import random
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import sentencepiece
+from tokenizers import Tokenizer
+
+from plumbline.llm import cross_tokens
+from plumbline.llm.cross_tokens import Alignments, Tokenizers, align_tokens, bitmaps, build_index, pair_counts, places_of
+from plumbline.llm.queries import BYTE_LEVEL, PIECES
+
+pytestmark = pytest.mark.skipif(not (os.path.exists(BYTE_LEVEL) and os.path.exists(PIECES)), reason="no tokenizer files")
+
+
+@pytest.fixture(scope="module")
+def library():
+    a = Tokenizer.from_file(BYTE_LEVEL)
+    a.encode_special_tokens = True
+    return a, sentencepiece.SentencePieceProcessor(model_file=PIECES)
+
+
+def token_bytes(library, side, i):
+    a, b = library
+    if side == 0:
+        letters = cross_tokens._byte_letters()
+        return bytes(letters[c] for c in a.id_to_token(i))
+    piece = b.id_to_piece(i)
+    return bytes([int(piece[3:5], 16)]) if b.is_byte(i) else piece.replace("▁", " ").encode()
+
+
+def brute(library, texts):
+    """Ids, groups and links of each text, from whole encodings and offsets byte by byte."""
+    out = []
+    for text in texts:
+        ids = (library[0].encode(" " + text, add_special_tokens=False).ids, library[1].encode(text)) if text else ([], [])
+        spans = []
+        for side in (0, 1):
+            at, mine = 0, []
+            for i in ids[side]:
+                mine.append((at, at := at + len(token_bytes(library, side, i)), i))
+            spans.append(mine)
+            if text and b"".join(token_bytes(library, side, i) for i in ids[side]) != (" " + text).encode():
+                ids = ([], [])
+                spans = [[], []]
+                break
+        links = [(x, y) for s, e, x in spans[0] for u, v, y in spans[1] if s < v and u < e]
+        cuts = sorted({e for _, e, _ in spans[0]} & {e for _, e, _ in spans[1]}) if ids[0] else []
+        groups = [
+            ",".join(str(i) for _, e, i in spans[0] if low < e <= high) + "|" + ",".join(str(i) for _, e, i in spans[1] if low < e <= high)
+            for low, high in zip([0, *cuts], cuts)
+        ]
+        out.append((len(ids[0]), len(ids[1]), len(groups), links, ";".join(groups)))
+    total = Counter(x for _, _, _, links, _ in out for x in links)
+    highest = defaultdict(int)
+    for (_, b), n in total.items():
+        highest[b] = max(highest[b], n)
+    rows = [(a, b, g, len(x), t, sum(total[p] == highest[p[1]] for p in x), sum(total[p] for p in x)) for a, b, g, x, t in out]
+    return rows, total, Counter(p for _, _, _, x, _ in out for p in set(x))
+
+
+TEXTS = [
+    None, "", " ", "  ", "\n", "a", " a", "a ", "a  b", "a \nb", "a\n b\tc", "don' t don't", "naïve 日本語 😀 x", "<s> </s> <unk> <0x41> <|endoftext|> b",
+    "one ▁two", "one▁ two", "▁", "x▁y z", "zero\x00byte and\x7f more", "é ​ \xa0 　 x", "a\r\n\r\nb", "12345 67,890.00 +-=", "thshble " * 40,
+    "the the the the", "the the the the", "A" * 300, "\U0010ffff  x",
+]
+
+
+def test_equals_brute_force(spark, library, monkeypatch):
+    monkeypatch.setattr(cross_tokens, "BUCKET_DOCS", 9)
+    monkeypatch.setattr(cross_tokens, "BUCKET_POSTINGS", 60)
+    monkeypatch.setattr(cross_tokens, "KEPT_CHUNKS", 20)
+    rng = random.Random(11)
+    letters = ["a", "b", "the", "ing", " ", " ", " ", "  ", "\n", "é", "▁", "<", "1", "'s", "日", "😀", "\t", "\xa0", "."]
+    texts = TEXTS + ["".join(rng.choices(letters, k=rng.randrange(1, 30))) for _ in range(150)]
+    texts += [r.text[:3000] for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").limit(20).collect()]
+    rows, total, held = brute(library, texts)
+    docs = spark.createDataFrame([(i if i % 7 else None, t, 1, "x") for i, t in enumerate(texts)], "doc_id long, text string, pair int, n_a string").repartition(3, "doc_id")
+    got = align_tokens(docs, BYTE_LEVEL, PIECES).select("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "n_best", "count_sum")
+    expected = [(i if i % 7 else None, *r) for i, r in enumerate(rows)]
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(expected, key=repr)
+    digests = align_tokens(docs, BYTE_LEVEL, PIECES, digest=True).select("groups").collect()
+    assert sorted(r.groups for r in digests) == sorted(hashlib.sha256(r[4].encode()).hexdigest() if r[4] else "" for r in rows)
+    pairs = pair_counts(build_index(docs, BYTE_LEVEL, PIECES)).collect()
+    assert {(r.a_id, r.b_id): (r.n_docs, r.n_links) for r in pairs} == {p: (held[p], n) for p, n in total.items()}
+
+
+def test_empty_tables_and_other_ids(spark):
+    docs = spark.createDataFrame([("x", "to be"), ("x", "to be")], "name string, body string")
+    rows = align_tokens(docs, BYTE_LEVEL, PIECES, "name", "body").collect()
+    assert [r.doc_id for r in rows] == ["x", "x"] and rows[0] == rows[1] and rows[0].n_links == rows[0].count_sum / 2 > 0
+    assert align_tokens(docs.limit(0), BYTE_LEVEL, PIECES, "name", "body").count() == 0
+
+
+def test_bitmaps_come_back():
+    rng = np.random.default_rng(2)
+    held = np.unique((rng.random(6000) ** 4 * 400).astype(int) * 1000 + rng.integers(0, 1000, 6000))
+    pairs, places = held // 1000, held % 1000
+    found = {}
+    for pair, count, dense, bits in bitmaps(pairs, places, 1000):
+        back = np.split(places_of(bits.to_pylist(), dense), np.cumsum(count)[:-1])
+        found |= {p: (x.tolist(), dense) for p, x in zip(pair.tolist(), back, strict=True)}
+    assert {p: x for p, (x, _) in found.items()} == {p: places[pairs == p].tolist() for p in np.unique(pairs).tolist()}
+    assert {d for _, d in found.values()} == {True, False}
+
+
+def test_long_chunks_and_many_chunks(library):
+    with open(BYTE_LEVEL, "rb") as a, open(PIECES, "rb") as b:
+        alignments = Alignments(Tokenizers(a.read(), b.read()))
+    text = "ab" * 100_000
+    numbers = alignments.chunks(text) + alignments.chunks("word " * 50_000 + "word")
+    alignments.align()
+    assert len(alignments) == 2 and len(numbers) == 50_002 and alignments.valid.all()
+    assert alignments.numbers[0, :2].tolist() == [len(library[0].encode(" " + text).ids), len(library[1].encode(text))]
