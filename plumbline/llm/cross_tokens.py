@@ -14,8 +14,10 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
+from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +34,10 @@ PLACE_BITS = 16
 BUCKET_DOCS = 50_000
 BUCKET_POSTINGS = 3_000_000
 #: Chunks that a task keeps the alignment of.
-KEPT_CHUNKS = 200_000
+KEPT_CHUNKS = 400_000
 SPACE = "▁"
+#: A space with a visible character on either side; B can't tell its own space sign from a space.
+_CUT = re.compile(rf"(?<=[^\s{SPACE}]) (?=\S)")
 #: The plane of the documents that hold a pair; planes from 0 hold the bits of how often beyond once.
 DOCUMENTS = -1
 
@@ -45,6 +49,11 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def _spelled(n: int, marks: tuple[bytes, bytes]) -> np.ndarray:
+    """For each id its number with either mark after it."""
+    return np.array([b"%d%s" % (i, m) for i in range(n) for m in marks], object)
+
+
 class Tokenizers:
     """A byte-level tokenizer (A) and a SentencePiece one (B) with the bytes of their tokens."""
 
@@ -65,6 +74,7 @@ class Tokenizers:
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
         if len(pieces) >> B_BITS:
             raise ValueError(f"the second tokenizer has {len(pieces)} pieces; at most {1 << B_BITS} are supported")
+        self.a_spelled, self.b_spelled = _spelled(len(self.a_bytes), (b",", b"|")), _spelled(len(pieces), (b",", b";"))
         #: Whether B, too, ends a token wherever a word follows a word.
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in pieces)
 
@@ -75,6 +85,24 @@ class Tokenizers:
         return self.b.encode(list(texts), num_threads=1)
 
 
+class Cut:
+    """The tokens of one side over all chunks of a batch: ids, tokens per chunk, and where they end in the joined bytes."""
+
+    def __init__(self, ids: list[list[int]], token_bytes: list[bytes]):
+        self.counts = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.ids = np.fromiter(chain.from_iterable(ids), np.int64, int(self.counts.sum()))
+        parts = [token_bytes[i] for i in self.ids.tolist()]
+        self.ends = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)), dtype=np.int64)
+        self.starts = np.concatenate([[0], self.ends])[: len(parts)]
+        self.chunks = np.repeat(np.arange(len(ids)), self.counts)
+        self.joined = b"".join(parts)
+
+    def spells(self, raw: bytes, ends: np.ndarray) -> bool:
+        """Whether the tokens give back ``raw``, each chunk ending where it should."""
+        at = np.cumsum(self.counts)
+        return self.joined == raw and bool((self.counts > 0).all()) and bool((self.ends[at - 1] == ends).all())
+
+
 @lru_cache(maxsize=2)
 def _tokenizers(a_json: bytes, b_model: bytes) -> Tokenizers:
     """Kept by a Python worker from one task to the next."""
@@ -95,86 +123,73 @@ class Alignments:
         self.clear()
 
     def clear(self) -> None:
-        self.plain: dict[str, int] = {}
-        self.odd: dict[str, int] = {}
-        self.fresh: list[str] = []
+        self.known: dict[str, int] = {}
         self.groups: list[bytes] = []
         self.valid = np.empty(0, bool)
         self.numbers = np.empty((0, 4), np.int64)  # n_a, n_b, n_groups, n_links
         self.pairs = np.empty(0, np.int64)
 
     def __len__(self) -> int:
-        return len(self.plain) + len(self.odd)
-
-    def _number(self, chunk: str, known: dict[str, int]) -> int:
-        number = known.get(chunk)
-        if number is None:
-            number = known[chunk] = len(self)
-            self.fresh.append(chunk)
-        return number
+        return len(self.known)
 
     def whole(self, text: str) -> list[int]:
-        return [self._number(text, self.odd)]
+        return [self.known.setdefault(text, len(self.known))]
 
     def chunks(self, text: str) -> list[int]:
         """Numbers of the chunks of ``text``, each of which stands for itself after a space."""
         if not self.tokenizers.cuts:
             return self.whole(text)
-        parts = text.split(" ")
-        found = [self.plain.get(p) for p in parts]
-        if None not in found:
-            return found
-        found, run = [], parts[0]
-        for part in [*parts[1:], None]:
-            # A cut needs a visible character on either side of the space; B can't tell its own space sign from a space.
-            if part is not None and (not part or part[0].isspace() or not run or run[-1].isspace() or run[-1] == SPACE):
-                run = f"{run} {part}"
-                continue
-            plain = run and " " not in run and not run[0].isspace() and not run[-1].isspace() and run[-1] != SPACE
-            found.append(self._number(run, self.plain if plain else self.odd))
-            run = part
-        return found
+        known = self.known
+        return [known.setdefault(c, len(known)) for c in _CUT.split(text)]
 
     def align(self) -> None:
         """Works out the chunks that are new since the last call."""
-        for at in range(0, len(self.fresh), 20_000):
-            self._align(self.fresh[at : at + 20_000])
-        self.fresh = []
+        fresh = list(islice(self.known, len(self.groups), None))
+        for at in range(0, len(fresh), 20_000):
+            self._align(fresh[at : at + 20_000])
 
     def _align(self, chunks: list[str]) -> None:
         t = self.tokenizers
         spaced = [f" {c}" for c in chunks]
         raw = [s.encode("utf-8", "replace") for s in spaced]
-        a, b = t.a_ids(spaced), t.b_ids(chunks)
-        valid = np.array([b"".join([t.a_bytes[i] for i in x]) == r and b"".join([t.b_bytes[i] for i in y]) == r for x, y, r in zip(a, b, raw, strict=True)])
-        a = [x if ok else [] for x, ok in zip(a, valid, strict=True)]
-        b = [x if ok else [] for x, ok in zip(b, valid, strict=True)]
-        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-        a_ids, b_ids = (np.fromiter((i for x in ids for i in x), np.int64) for ids in (a, b))
-        a_end = np.cumsum([len(t.a_bytes[i]) for i in a_ids.tolist()], dtype=np.int64)
-        b_end = np.cumsum([len(t.b_bytes[i]) for i in b_ids.tolist()], dtype=np.int64)
-        a_start, b_start = np.concatenate([[0], a_end[:-1]]), np.concatenate([[0], b_end[:-1]])
-        a_chunk, b_chunk = np.repeat(np.arange(len(chunks)), n_a), np.repeat(np.arange(len(chunks)), n_b)
-        first = np.searchsorted(b_end, a_start[: len(a_end)], "right")
-        count = np.searchsorted(b_start[: len(b_end)], a_end, "left") - first
-        linked = np.repeat(np.arange(len(a_ids)), count)
-        pairs = a_ids[linked] << B_BITS | b_ids[_ramp(first, count)]
-        cuts = np.intersect1d(a_end, b_end)
-        a_group, b_group = np.searchsorted(cuts, a_end), np.searchsorted(cuts, b_end)
-        n_links = np.bincount(a_chunk, count, len(chunks)).astype(np.int64) if len(a_ids) else np.zeros(len(chunks), np.int64)
+        ends = np.cumsum([len(r) for r in raw])
+        a_ids, b_ids = t.a_ids(spaced), t.b_ids(chunks)
+        a, b = Cut(a_ids, t.a_bytes), Cut(b_ids, t.b_bytes)
+        valid = np.ones(len(chunks), bool)
+        if not (a.spells(b"".join(raw), ends) and b.spells(b"".join(raw), ends)):
+            valid = np.array([all(b"".join([x[i] for i in ids]) == r for ids, x in ((i, t.a_bytes), (j, t.b_bytes))) for i, j, r in zip(a_ids, b_ids, raw, strict=True)])
+            a, b = (Cut([x if ok else [] for x, ok in zip(ids, valid, strict=True)], of) for ids, of in ((a_ids, t.a_bytes), (b_ids, t.b_bytes)))
+        first = np.searchsorted(b.ends, a.starts, "right")
+        count = np.searchsorted(b.starts, a.ends, "left") - first
+        pairs = np.repeat(a.ids, count) << B_BITS | b.ids[_ramp(first, count)]
+        cuts = np.intersect1d(a.ends, b.ends, assume_unique=True)
+        a_group, b_group = np.searchsorted(cuts, a.ends), np.searchsorted(cuts, b.ends)
         a_last, b_last = np.diff(a_group, append=-1) != 0, np.diff(b_group, append=-1) != 0
-        n_groups = np.bincount(a_chunk[a_last], minlength=len(chunks))
+        n_links = np.bincount(np.repeat(a.chunks, count), minlength=len(chunks))
+        n_groups = np.bincount(a.chunks[a_last], minlength=len(chunks))
         # Both sides' tokens in the order of their groups, the first tokenizer's before the second's.
-        spelled = np.empty(len(a_ids) + len(b_ids), object)
-        spelled[np.arange(len(a_ids)) + np.searchsorted(b_group, a_group)] = [b"%d|" % i if e else b"%d," % i for i, e in zip(a_ids.tolist(), a_last.tolist(), strict=True)]
-        spelled[np.arange(len(b_ids)) + np.searchsorted(a_group, b_group, "right")] = [b"%d;" % i if e else b"%d," % i for i, e in zip(b_ids.tolist(), b_last.tolist(), strict=True)]
-        spelled, ends = spelled.tolist(), np.cumsum(n_a + n_b).tolist()
-        self.groups += [b"".join(spelled[s:e])[:-1] for s, e in zip([0, *ends[:-1]], ends, strict=True)]
+        spelled = np.empty(len(a.ids) + len(b.ids), object)
+        spelled[np.arange(len(a.ids)) + np.searchsorted(b_group, a_group)] = t.a_spelled[2 * a.ids + a_last]
+        spelled[np.arange(len(b.ids)) + np.searchsorted(a_group, b_group, "right")] = t.b_spelled[2 * b.ids + b_last]
+        words, at = spelled.tolist(), [0, *np.cumsum(a.counts + b.counts).tolist()]
+        self.groups += [b"".join(words[s:e])[:-1] for s, e in pairwise(at)]
         self.valid = np.concatenate([self.valid, valid])
-        self.numbers = np.concatenate([self.numbers, np.stack([n_a, n_b, n_groups, n_links], axis=1)])
+        self.numbers = np.concatenate([self.numbers, np.stack([a.counts, b.counts, n_groups, n_links], axis=1)])
         self.pairs = np.concatenate([self.pairs, pairs])
 
 
+def _counted(keys: np.ndarray, times: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Different keys in order and how often each occurs, or the sum of its ``times``."""
+    if times is None:
+        keys = np.sort(keys)
+        starts = np.flatnonzero(np.diff(keys, prepend=-1))
+        return keys[starts], np.diff(starts, append=len(keys))
+    order = np.argsort(keys)
+    keys, times = keys[order], times[order]
+    starts = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[starts], np.add.reduceat(times, starts) if len(starts) else times
+
+
 def bitmaps(pairs: np.ndarray, places: np.ndarray, n_places: int) -> Iterator[tuple[np.ndarray, np.ndarray, bool, pa.Array]]:
     """Pairs, popcounts, whether bitmaps are dense, and the bitmaps: lists of places, or bits where these are shorter.
 
@@ -236,19 +251,16 @@ class _Bucket:
         columns = [pa.array(place, pa.int64()), ids, *(pa.array(n, pa.int64()) for n in numbers.T), pa.array(told, pa.string())]
         self.rows.append(pa.table(columns, names=["place", "doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]))
         # Chunks that a document repeats count at once.
-        held, times = np.unique(np.repeat(place, lengths) << 32 | flat, return_counts=True)
+        held, times = _counted(np.repeat(place, lengths) << 32 | flat)
         chunk = held & 0xFFFFFFFF
         n_links = alignments.numbers[:, 3]
         count = n_links[chunk]
         pairs = alignments.pairs[_ramp((np.cumsum(n_links) - n_links)[chunk], count)]
-        keys, times = pairs << PLACE_BITS | np.repeat(held >> 32, count), np.repeat(times, count)
-        order = np.argsort(keys, kind="stable")
-        keys, times = keys[order], times[order]
-        starts = np.flatnonzero(np.diff(keys, prepend=-1))
-        self.keys.append(keys[starts])
-        self.times.append(np.add.reduceat(times, starts) if len(starts) else times)
+        keys, times = _counted(pairs << PLACE_BITS | np.repeat(held >> 32, count), np.repeat(times, count))
+        self.keys.append(keys)
+        self.times.append(times)
         self.docs += len(texts)
-        self.postings += len(starts)
+        self.postings += len(keys)
 
     def full(self, more: int) -> bool:
         return self.postings >= BUCKET_POSTINGS or self.docs + more > BUCKET_DOCS
