@@ -21,6 +21,7 @@ from itertools import chain, islice, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -344,29 +345,32 @@ def pair_counts(index: DataFrame) -> DataFrame:
 def score_documents(index: DataFrame, counts: DataFrame) -> DataFrame:
     """Each document of ``index`` with ``n_best``, its links whose pair is its B id's best, and ``count_sum``, the counts of its links' pairs."""
     told = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups"]
-    documents = index.where("pair IS NULL").select("bucket", "place", *told)
-    postings = index.where("pair IS NOT NULL").select("bucket", "pair", "plane", "n", "dense", "bits")
-    scored = postings.join(counts.select("pair", F.col("n_links").alias("count"), "is_best"), "pair")
-    scored = scored.selectExpr("bucket AS of_bucket", "shiftleft(1L, greatest(plane, 0)) AS times", "n", "dense", "bits", "count", "is_best")
-    kinds = {f.name: f.dataType.simpleString() for f in documents.schema}
+    kinds = {f.name: f.dataType.simpleString() for f in index.schema}
     result = ", ".join(f"{c} {kinds[c]}" for c in told) + ", n_best long, count_sum long"
+    # Only keys meet the counts, so bitmaps are shuffled once. Each pair has one bitmap of documents in a bucket.
+    held = index.where(F.col("plane") == DOCUMENTS).select("pair", F.col("bucket").alias("of_bucket"))
+    counted = held.join(counts.select("pair", F.col("n_links").alias("count"), "is_best"), "pair")
+    counted = counted.selectExpr("of_bucket", "pair AS of_pair", "count", "is_best")
 
-    def of_bucket(docs: pa.Table, postings: pa.Table) -> pa.Table:
-        size = int(docs["place"].to_numpy().max()) + 1
-        sums = np.zeros(size, np.int64), np.zeros(size, np.int64)
-        dense = postings["dense"].to_numpy()
+    def of_bucket(rows: pa.Table, counted: pa.Table) -> pa.Table:
+        docs = rows.filter(pc.is_null(rows["pair"]))
+        place = docs["place"].to_numpy()
+        best, total = (np.zeros(int(place.max(initial=-1)) + 1, np.int64) for _ in range(2))
+        by = np.argsort(counted["of_pair"].to_numpy())
+        known, count, is_best = (counted[c].to_numpy()[by] for c in ("of_pair", "count", "is_best"))
+        postings = rows.filter(pc.is_valid(rows["pair"])).select(["pair", "plane", "n", "dense", "bits"])
         for kind in (False, True):
-            mine = postings.filter(pa.array(dense == kind))
+            mine = postings.filter(pc.equal(postings["dense"], kind))
             for at in range(0, mine.num_rows, 100_000):
                 part = mine.slice(at, 100_000)
-                places = places_of(part["bits"].to_pylist(), kind)
-                n, times = part["n"].to_numpy(), part["times"].to_numpy()
-                np.add.at(sums[0], places, np.repeat(times * part["is_best"].to_numpy(), n))
-                np.add.at(sums[1], places, np.repeat(times * part["count"].to_numpy(), n))
-        place = docs["place"].to_numpy()
-        return docs.select(told).append_column("n_best", pa.array(sums[0][place])).append_column("count_sum", pa.array(sums[1][place]))
-
-    return documents.groupBy("bucket").cogroup(scored.groupBy("of_bucket")).applyInArrow(of_bucket, result)
+                places, n = places_of(part["bits"].to_pylist(), kind), part["n"].to_numpy()
+                times = np.int64(1) << np.maximum(part["plane"].to_numpy(), 0).astype(np.int64)
+                pair = np.searchsorted(known, part["pair"].to_numpy())
+                np.add.at(best, places, np.repeat(times * is_best[pair], n))
+                np.add.at(total, places, np.repeat(times * count[pair], n))
+        return docs.select(told).append_column("n_best", pa.array(best[place])).append_column("count_sum", pa.array(total[place]))
+
+    return index.groupBy("bucket").cogroup(counted.groupBy("of_bucket")).applyInArrow(of_bucket, result)
 
 
 def align_tokens(docs: DataFrame, a_file: str, b_file: str, doc_id: str = "doc_id", text: str = "text", digest: bool = False) -> DataFrame:
