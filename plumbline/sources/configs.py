@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.literals import local_rows
 from plumbline.functions.names import is_temporal_name, is_valid_name, is_vetoed_name, schema_part, table_part
 from plumbline.operators.checks import COMPLETENESS, FRESHNESS, UNIQUENESS
+from plumbline.sources import snapshots
 
 CONFIG_SCHEMA = "pos long, table string, freshness_col string, completeness_col string, uniqueness_col string"
 _FIELDS = ("table", "freshness_col", "completeness_col", "uniqueness_col")
@@ -22,8 +23,8 @@ def config_from_entries(spark: SparkSession, entries: Iterable[Mapping[str, str]
 
 
 def read_config(spark: SparkSession, path: str) -> DataFrame:
-    """A configuration table written by ``write_config``."""
-    return spark.read.schema(CONFIG_SCHEMA).json(path)
+    """A configuration table: the last that ``write_config`` or ``append_checks`` put there, else JSON lines as they stand."""
+    return spark.read.schema(CONFIG_SCHEMA).json(snapshots.latest(spark, path).folder)
 
 
 def read_yaml_config(spark: SparkSession, path: str) -> DataFrame:
@@ -67,4 +68,22 @@ def append_config(existing: DataFrame, generated: DataFrame) -> DataFrame:
 
 
 def write_config(config: DataFrame, path: str) -> None:
-    config.write.mode("overwrite").json(path)
+    """Replaces the configuration at ``path``, from which ``config`` may have been read; a failed write leaves it as it was."""
+    snapshots.replace(config.sparkSession, path, config.write.json)
+
+
+def append_checks(generated: DataFrame, path: str, attempts: int = 5) -> int:
+    """Appends generated entries to the configuration at ``path`` in place; returns how many writes the path has seen.
+
+    Entries that another run appends meanwhile stay: this one then starts anew from them.
+    """
+    spark = generated.sparkSession
+    for left in reversed(range(attempts)):
+        base = snapshots.latest(spark, path)
+        existing = spark.read.schema(CONFIG_SCHEMA).json(base.folder) if base.exists else config_from_entries(spark, [])
+        try:
+            return snapshots.replace(spark, path, append_config(existing, generated).write.json, base)
+        except snapshots.Conflict:
+            if not left:
+                raise
+    raise ValueError("append_checks needs an attempt")
