@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.functions.names import last_segment
+from plumbline.operators.merge import merge_descriptions
+from plumbline.sources import snapshots
 
 _COLUMNS = "columns array<struct<name string, description string, data_type string>>"
 ENTRY_SCHEMA = (
@@ -32,7 +34,7 @@ def entry_pos(source_pos: Column, table_pos: Column) -> Column:
 
 def read_document(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
     """Nested documents as JSON: one per file, or with ``lines`` one per line, as ``write_document`` writes them."""
-    return spark.read.schema(DOCUMENT_SCHEMA).json(path, multiLine=not lines)
+    return spark.read.schema(DOCUMENT_SCHEMA).json(snapshots.latest(spark, path).folder, multiLine=not lines)
 
 
 def read_yaml_document(spark: SparkSession, path: str) -> DataFrame:
@@ -118,14 +120,150 @@ def nest_document(flat: DataFrame) -> DataFrame:
 
 
 def write_document(flat: DataFrame, path: str) -> None:
-    """The documents of ``flat``, one per line and source; ``read_document(..., lines=True)`` reads them."""
-    nest_document(flat).write.mode("overwrite").json(path)
+    """The documents of ``flat``, one per line and source; ``read_document(..., lines=True)`` reads them.
+
+    A line holds a source whole, for tools that take such files; ``write_fragments`` writes sources of any width. ``flat`` may come from
+    ``path`` itself, and a failed write leaves it as it was.
+    """
+    snapshots.replace(flat.sparkSession, path, nest_document(flat).write.json)
 
 
 def write_entries(entries: DataFrame, path: str) -> None:
-    """One JSON line per table entry, so that a large document is written and read in parallel."""
-    entries.write.mode("overwrite").json(path)
+    """One JSON line per table entry, so that a large document is written and read in parallel; ``path`` is replaced as a whole."""
+    snapshots.replace(entries.sparkSession, path, entries.write.json)
 
 
 def read_entries(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(ENTRY_SCHEMA).json(path)
+    return spark.read.schema(ENTRY_SCHEMA).json(snapshots.latest(spark, path).folder)
+
+
+# --------------------------------------------------------------------------- sources of any width
+
+#: Ordinals that a fragment of a table spans.
+FRAGMENT_COLUMNS = 1000
+FRAGMENT_SCHEMA = (
+    "schema string, table string, entry_pos struct<source_pos long, table_pos long>, fragment long, "
+    "described boolean, description string, data_type string, "
+    "columns array<struct<ordinal long, name string, description string, data_type string, entry_pos struct<source_pos long, table_pos long>>>"
+)
+MANIFEST_SCHEMA = "schema string, tables long, columns long, fragments long"
+
+
+def fragment_rows(flat: DataFrame) -> DataFrame:
+    """One row per table and range of ordinals, so that no row holds a source or a wide table.
+
+    ``entry_pos`` is the first place of the table; ``described`` tells whether the table has a row of its own, which its
+    first fragment holds. Columns without ordinal belong to the first fragment too.
+    """
+    span = F.lit(FRAGMENT_COLUMNS)
+    fragment = F.coalesce(F.floor((F.greatest("ordinal", F.lit(1)) - 1) / span), F.lit(0)).cast("long").alias("fragment")
+    own = F.col("column").isNull()
+    column = F.struct("ordinal", F.col("column").alias("name"), "description", "data_type", "entry_pos")
+    fragments = flat.groupBy("schema", "table", fragment).agg(
+        F.bool_or(own).alias("described"),
+        F.max(F.when(own, F.struct("entry_pos", "description", "data_type"))).alias("own"),
+        F.sort_array(F.collect_list(F.when(~own, column))).alias("columns"),
+    )
+    places = flat.groupBy("schema", "table").agg(F.min("entry_pos").alias("entry_pos"))
+    placed = fragments.join(places, (fragments["schema"].eqNullSafe(places["schema"])) & (fragments["table"].eqNullSafe(places["table"])))
+    return placed.select(
+        fragments["schema"], fragments["table"], "entry_pos", "fragment", "described", "own.description", "own.data_type", "columns"
+    )
+
+
+def _manifest(fragments: DataFrame) -> DataFrame:
+    tables = fragments.groupBy("schema", "table").agg(F.sum(F.size("columns")).alias("columns"), F.count("*").alias("fragments"))
+    return tables.groupBy("schema").agg(
+        F.count("*").alias("tables"), F.sum("columns").alias("columns"), F.sum("fragments").alias("fragments")
+    )
+
+
+def write_fragments(flat: DataFrame, path: str) -> None:
+    """The document of ``flat`` as JSON lines in its order, a fragment each, and a manifest with a line per source.
+
+    Files follow each other by source, table and fragment, so a reader that streams them meets every table in its place. The
+    path is replaced as a whole once both are written.
+    """
+    spark = flat.sparkSession
+    order = ["schema", "entry_pos", "table", "fragment"]
+
+    def write(folder: str) -> None:
+        fragment_rows(flat).repartitionByRange(*order).sortWithinPartitions(*order).write.json(f"{folder}/fragments")
+        _manifest(_fragments(spark, folder)).write.json(f"{folder}/manifest")
+
+    snapshots.replace(spark, path, write)
+
+
+def _fragments(spark: SparkSession, folder: str) -> DataFrame:
+    return spark.read.schema(FRAGMENT_SCHEMA).json(f"{folder}/fragments")
+
+
+def read_fragments(spark: SparkSession, path: str) -> DataFrame:
+    """The fragments that ``write_fragments`` wrote, each a row."""
+    return _fragments(spark, snapshots.latest(spark, path).folder)
+
+
+def flatten_fragments(fragments: DataFrame) -> DataFrame:
+    """The rows that the fragments were made of: one per described object, with its place."""
+    own = F.struct(
+        F.lit(None).cast("string").alias("column"), F.lit(0).cast("long").alias("ordinal"), "description", "data_type", "entry_pos"
+    )
+    columns = F.transform(
+        "columns", lambda c: F.struct(c["name"].alias("column"), c["ordinal"], c["description"], c["data_type"], c["entry_pos"])
+    )
+    rows = F.concat(F.when(F.col("described"), F.array(own)).otherwise(F.array()), columns)
+    return fragments.select("schema", "table", F.inline(rows))
+
+
+def missing_fragments(spark: SparkSession, path: str) -> DataFrame:
+    """Sources whose fragments aren't those of the manifest, with the counts of both; none if all is there."""
+    folder = snapshots.latest(spark, path).folder
+    promised = spark.read.schema(MANIFEST_SCHEMA).json(f"{folder}/manifest").alias("promised")
+    found = _manifest(_fragments(spark, folder)).alias("found")
+    both = promised.join(found, F.expr("promised.schema <=> found.schema"), "full")
+    counts = ("tables", "columns", "fragments")
+    differ = F.struct(*[f"promised.{c}" for c in counts]) != F.struct(*[f"found.{c}" for c in counts])
+    name = F.coalesce("promised.schema", "found.schema").alias("schema")
+    return both.where(F.coalesce(differ, F.lit(True))).select(
+        name, *[F.col(f"{side}.{c}").alias(f"{c}_{side}") for c in counts for side in ("promised", "found")]
+    )
+
+
+# --------------------------------------------------------------------------- rows stored by source
+
+STORED_SCHEMA = (
+    "table string, column string, ordinal long, description string, data_type string, "
+    "entry_pos struct<source_pos long, table_pos long>, schema string"
+)
+#: Up to so many sources are named in the filter of a refresh, so that Spark lists only their folders.
+NAMED_SOURCES = 1000
+
+
+def write_stored(flat: DataFrame, path: str) -> None:
+    """Description rows as Parquet, a folder per source; sources that ``path`` holds already are replaced, others stay.
+
+    Rows of a large source are spread over several files. An empty source name is stored as a missing one.
+    """
+    rows = flat.select("table", "column", "ordinal", "description", "data_type", "entry_pos", "schema")
+    writer = rows.hint("rebalance", "schema").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("schema").parquet(path)
+
+
+def read_stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(STORED_SCHEMA).parquet(path)
+
+
+def refresh_stored(now: DataFrame, path: str) -> None:
+    """Tables in ``now`` replace their rows stored at ``path``; only folders of its sources are read and written.
+
+    The new files are written beside the old ones, which go when the job is committed.
+    """
+    stored = read_stored(now.sparkSession, path)
+    sources = now.select("schema").distinct()
+    named = [row["schema"] for row in sources.limit(NAMED_SOURCES + 1).collect()]
+    if len(named) <= NAMED_SOURCES:
+        wanted = F.col("schema").isin([n for n in named if n is not None])
+        stored = stored.where(wanted | F.col("schema").isNull() if None in named else wanted)
+    else:
+        stored = stored.join(sources, stored["schema"].eqNullSafe(sources["schema"]), "left_semi")
+    write_stored(merge_descriptions(stored, now.select(*stored.columns)), path)
