@@ -105,12 +105,16 @@ def run_and_log(
     table: str | None = None,
     as_of: datetime | None = None,
     concurrent_tables: int = 8,
+    run_id: str | None = None,
 ) -> str | None:
-    """Run every check, append the results in one write and return the run id; no results, no write."""
+    """Run every check, append the results in one write and return the run id; no results, no write.
+
+    A scheduler that may repeat a run gives it a ``run_id``: the log then holds the results of the last try alone.
+    """
     as_of = as_of or datetime.now(timezone.utc)
     run = QualityRun(spark, config, tables, as_of, concurrent_tables)
     if not run.findings and not run.by_table:
         return None
-    run_id = new_run_id()
-    append_log(stamp_results(run.isolated_results(), run_id, Clock(datetime.now(timezone.utc))), path, table)
+    run_id = run_id or new_run_id()
+    append_log(stamp_results(run.isolated_results(), run_id, Clock(datetime.now(timezone.utc))), path, table, run_id)
     return run_id

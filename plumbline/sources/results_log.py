@@ -1,4 +1,4 @@
-"""Append-only log of result rows, one run id and one time per run."""
+"""Log of result rows, one run id and one time per run; a run that is repeated under its id replaces itself."""
 
 from __future__ import annotations
 
@@ -30,15 +30,50 @@ def stamp_results(results: DataFrame, run_id: str, clock: Clock = Clock()) -> Da
     )
 
 
-def append_log(stamped: DataFrame, path: str | None = None, table: str | None = None) -> None:
-    """One append to a Parquet folder or a catalog table, created when absent.
+LOG_SCHEMA = (
+    "run_at timestamp, dataset_name string, table_name string, column_name string, check_type string, status string, "
+    "result_value string, metadata string, pos long, check_pos int, severity string, metric double, run_id string"
+)
 
-    The rebalance hint lets Spark write a small run as one file and split a large one.
+
+def _by_run(spark: SparkSession, path: str) -> bool:
+    """Whether the log at ``path`` has a folder per run, or is yet to be written."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    return all(name.startswith(("run_id=", "_", ".")) for name in names)
+
+
+def _partitions(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def append_log(stamped: DataFrame, path: str | None = None, table: str | None = None, run_id: str | None = None) -> None:
+    """One write to a Parquet folder or a catalog table, created when absent, with a folder per run.
+
+    Only folders of the runs in ``stamped`` are replaced, so a run that is logged again under its id leaves one copy. A table needs
+    ``run_id`` for that. Logs without a folder per run, as older ones are, are appended to. The rebalance hint lets Spark write a small run
+    as one file and split a large one.
     """
-    writer = stamped.hint("rebalance").write.mode("append")
+    spark, rows = stamped.sparkSession, stamped.hint("rebalance")
     if table is not None:
-        writer.saveAsTable(table)
-    elif path is not None:
-        writer.parquet(path)
-    else:
+        if not spark.catalog.tableExists(table):
+            rows.write.partitionBy("run_id").saveAsTable(table)
+        elif run_id is None or _partitions(spark, table) != ["run_id"]:
+            rows.write.mode("append").saveAsTable(table)
+        else:
+            columns = [c.name for c in spark.catalog.listColumns(table) if c.name != "run_id"]
+            run = rows.where(F.col("run_id") == run_id).select(*columns)
+            named = run_id.replace("\\", "\\\\").replace("'", "\\'").replace("{", "{{").replace("}", "}}")
+            spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (run_id = '{named}') SELECT * FROM {{run}}", run=run)
+    elif path is None:
         raise ValueError("append_log needs a path or a table")
+    elif _by_run(spark, path):
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path)
+    else:
+        rows.write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log at a path; run ids stay text whatever they look like."""
+    return spark.read.schema(LOG_SCHEMA).parquet(path).select(*_COLUMNS)
