@@ -5,6 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -25,14 +26,28 @@ def column_types(schema: StructType, prefix: str = "") -> Iterator[tuple[str, st
             yield from column_types(field.dataType, f"{name}.")
 
 
-def catalog_of(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame]) -> DataFrame:
-    """The catalog of named DataFrames; reads schemas only. Meant for up to some 100,000 columns: rows pass one task."""
+#: Columns up to which a catalog is one literal in the plan, which Catalyst can fold.
+LITERAL_COLUMNS = 10_000
+_ARROW = pa.schema(
+    [("schema", pa.string()), ("table", pa.string()), ("table_pos", pa.int64()), ("ordinal", pa.int64()), ("column", pa.string()), ("data_type", pa.string())]
+)
+
+
+def catalog_of(spark: SparkSession, tables: Mapping[tuple[str, str], DataFrame], literal_columns: int = LITERAL_COLUMNS) -> DataFrame:
+    """The catalog of named DataFrames; reads schemas only.
+
+    Small catalogs are one literal. Beyond ``literal_columns`` rows are handed over as Arrow batches in as many partitions as the
+    session has cores, so that no plan and no task holds a large catalog.
+    """
     rows = [
-        dict(schema=schema, table=table, table_pos=table_pos, ordinal=ordinal, column=column, data_type=data_type)
+        (schema, table, table_pos, ordinal, column, data_type)
         for table_pos, ((schema, table), df) in enumerate(tables.items())
         for ordinal, (column, data_type) in enumerate(column_types(df.schema), start=1)
     ]
-    return local_rows(spark, rows, CATALOG_SCHEMA)
+    if len(rows) <= literal_columns:
+        return local_rows(spark, [dict(zip(_ARROW.names, row, strict=True)) for row in rows], CATALOG_SCHEMA)
+    columns = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), _ARROW, strict=True)]
+    return spark.createDataFrame(pa.table(columns, schema=_ARROW))
 
 
 def session_tables(spark: SparkSession, schema: str, at_once: int = 8) -> dict[tuple[str, str], DataFrame]:
