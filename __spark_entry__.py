@@ -36,18 +36,26 @@ from plumbline.plans.config import generate_checks
 from plumbline.plans.documentation import refresh_documentation
 from plumbline.plans.quality import run_and_log, run_checks
 from plumbline.sources.catalog import catalog_of
-from plumbline.sources.configs import config_from_entries, read_config, write_config
+from plumbline.sources.configs import append_checks, append_config, config_from_entries, read_config, write_config
 from plumbline.sources.descriptions import (
     document_entries,
     entry_pos,
     flatten_entries,
+    flatten_fragments,
     latest_descriptions,
+    missing_fragments,
     nest_entries,
     read_document,
     read_entries,
+    read_fragments,
+    read_stored,
+    refresh_stored,
     write_document,
     write_entries,
+    write_fragments,
+    write_stored,
 )
+from plumbline.sources.results_log import read_log
 from plumbline.sources.tables import frames, parquet_tables
 
 TABLES = (
@@ -113,6 +121,28 @@ def uniqueness_ignores_null(spark: SparkSession, sf_dir: str) -> DataFrame:
     return uniqueness(orders, orders.columns).select(RESULT)
 
 
+# Columns of nested types: table, name, and the value in Spark and in SQL.
+_NESTED_KEYS = [
+    ("orders", "class_id", "IF(o_orderstatus = 'F', NULL, struct(o_orderpriority AS p, o_orderstatus AS s))",
+     "CASE WHEN o_orderstatus <> 'F' THEN {'p': o_orderpriority, 's': o_orderstatus} END"),
+    ("lineitem", "flags_id", "array(array(l_returnflag), array(l_linestatus, l_returnflag, NULL))",
+     "[[l_returnflag], [l_linestatus, l_returnflag, NULL]]"),
+    ("customer", "segment_id", "map(c_mktsegment, c_nationkey, 'all', 0)", "MAP {c_mktsegment: c_nationkey, 'all': 0}"),
+    ("events", "props_id", "parse_json(props)", "props"),
+    ("events", "sets_id", "array(parse_json(props), parse_json(NULL))", "props"),
+    ("documents", "words_id", "split(text, ' ')", "string_split(text, ' ')"),
+    ("embeddings", "vector_id", "named_struct('v', embedding, 'l', label)", "{'v': embedding, 'l': label}"),
+]
+
+
+def uniqueness_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Structs, maps, nested arrays and variants, which are told apart by a digest."""
+    return _union(*[
+        uniqueness(_read(spark, sf_dir, table).select(F.expr(value).alias(name)), [name]).select(RESULT)
+        for table, name, value, _ in _NESTED_KEYS
+    ])
+
+
 def freshness_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return freshness(_read(spark, sf_dir, "events"), ["ts"], Clock(AS_OF)).select(RESULT)
 
@@ -154,6 +184,18 @@ def freshness_string(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union(local, zoned).select(RESULT)
 
 
+def freshness_iso(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Week dates in both forms, and an offset with seconds."""
+    week = [F.extract(F.lit("YEAROFWEEK"), "ts").cast("string"), F.lpad(F.weekofyear("ts").cast("string"), 2, "0"), (F.weekday("ts") + 1).cast("string")]
+    events = _read(spark, sf_dir, "events").select(
+        F.concat(week[0], F.lit("-W"), week[1], F.lit("-"), week[2], F.date_format("ts", "'T'HH:mm:ss")).alias("created_at"),
+        F.concat(week[0], F.lit("W"), week[1], week[2], F.date_format("ts", "' 'HHmmss")).alias("ingested"),
+        F.concat(F.date_format("ts", "yyyyMMdd'T'HHmmss"), F.lit("+010203")).alias("updated_at"),
+    )
+    local = freshness(events, ["created_at", "ingested"], Clock(AS_OF))
+    return _union(local, freshness(events, ["updated_at"], Clock(AS_OF.replace(tzinfo=timezone.utc)))).select(RESULT)
+
+
 def freshness_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _read(spark, sf_dir, "events").select(
         F.expr("CASE WHEN event_type = 'never' THEN ts END AS ts"),
@@ -279,7 +321,17 @@ def quality_log_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")
     for _ in range(2):
         run_and_log(spark, config, tables, path=path, as_of=AS_OF)
-    return spark.read.parquet(path).groupBy(REPORT).agg(F.count_distinct("run_id").alias("runs"))
+    return read_log(spark, path).groupBy(REPORT).agg(F.count_distinct("run_id").alias("runs"))
+
+
+def log_repeated_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run that is tried again under its id leaves one copy beside the results of another run."""
+    path = _shared_folder(spark)
+    config = config_from_entries(spark, _QUALITY)
+    tables = parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")
+    for run_id in ("2024-01-31", "2024-01-31", "other"):
+        run_and_log(spark, config, tables, path=path, as_of=AS_OF, run_id=run_id)
+    return read_log(spark, path).groupBy(REPORT).agg(F.count("*").alias("copies"), F.min("run_id").alias("first_run"))
 
 
 _QUOTED = [{**e, "table": "`" + e["table"].replace(".", "`.")} for e in _QUALITY if "." in e["table"]]
@@ -291,7 +343,7 @@ def log_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = parquet_tables(spark, f"{sf_dir}/{{table}}.parquet")
     nothing = run_and_log(spark, config_from_entries(spark, [{"table": "text.conversations"}]), tables, path=path, as_of=AS_OF)
     run_id = run_and_log(spark, config_from_entries(spark, _QUOTED), tables, path=path, as_of=AS_OF)
-    log = spark.read.parquet(path).where((F.col("run_id") == run_id) & F.lit(nothing is None))
+    log = read_log(spark, path).where((F.col("run_id") == run_id) & F.lit(nothing is None))
     value = F.from_json("metadata", "metric double, rows long, as_of string, reason string")
     return log.select("pos", "check_pos", "dataset_name", "column_name", F.col("run_at").isNotNull().alias("timed"), value.alias("v")).select(
         "pos", "check_pos", "dataset_name", "column_name", "timed", "v.*"
@@ -365,6 +417,35 @@ def checks_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_config(spark, path)
 
 
+def checks_append_twice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One path read, appended to and written twice in place."""
+    path = _shared_folder(spark)
+    write_config(config_from_entries(spark, _EXISTING), path)
+    write_config(append_config(read_config(spark, path), generate_checks(spark, _lake(spark, sf_dir))), path)
+    append_checks(generate_checks(spark, _lake(spark, sf_dir), exclude=split_patterns("Item, events,")), path)
+    return read_config(spark, path)
+
+
+_TEXT_KEYS = {
+    "orders": ["CAST(o_custkey AS STRING) AS cust_id", "CAST(o_totalprice AS DECIMAL(18, 2)) AS price_id", "concat('o', o_orderkey) AS order_id", "o_orderkey AS pk"],
+    "documents": ["lang AS lang_id", "text AS text_id", "concat(source, '-', doc_id) AS doc_id"],
+    "customer": ["c_mktsegment AS segment_id", "c_acctbal AS balance_id", "c_name AS name_key"],
+    "pages": ["nullif(page_id, 3) AS page_id", "url AS url_id", "html AS html_id"],
+}
+
+
+def suggest_sketched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys among text and decimal columns, most of which a sketch of their values rules out."""
+    tables = {("lake", t): _read(spark, sf_dir, t).selectExpr(*columns) for t, columns in _TEXT_KEYS.items()}
+    return generate_checks(spark, tables)
+
+
+def catalog_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog of all tables, handed over in batches as that of a large lake is."""
+    tables = {("lake", t): _read(spark, sf_dir, t) for t in TABLES}
+    return catalog_of(spark, tables, literal_columns=0).select("schema", "table", "table_pos", "ordinal", "column")
+
+
 # --------------------------------------------------------------------------- descriptions
 
 
@@ -513,6 +594,30 @@ def doc_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 DESCRIPTION = ["schema", "table", "column", "ordinal", "description", "data_type"]
 
 
+def doc_fragments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables as wide as there are documents, written in fragments and read back; nothing is missing."""
+    path = _shared_folder(spark)
+    documents = _documents(spark, sf_dir).drop("doc_id")
+    own = documents.select("schema", "table").distinct().select(
+        "schema", "table", F.lit(None).cast("string").alias("column"), F.lit(0).cast("long").alias("ordinal"),
+        F.concat(F.lit("Texts from "), "schema").alias("description"), F.lit(None).cast("string").alias("data_type"), entry_pos(F.lit(0), F.lit(0)),
+    )
+    write_fragments(_union(documents, own), path)
+    back = flatten_fragments(read_fragments(spark, path)).select(*DESCRIPTION)
+    lost = missing_fragments(spark, path).select("schema", *[F.lit(None).cast(t).alias(c) for c, t in back.dtypes[1:]])
+    return _union(back, lost)
+
+
+def doc_replace_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored by source, then refreshed in place with the tables that have documents labeled toxic."""
+    path = _shared_folder(spark)
+    documents = _documents(spark, sf_dir)
+    write_stored(documents, path)
+    toxic = _read(spark, sf_dir, "labels").where("toxic = 1")
+    refresh_stored(documents.join(toxic, "doc_id", "left_semi").drop("doc_id"), path)
+    return read_stored(spark, path).select(*DESCRIPTION)
+
+
 def push_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Descriptions that are empty, missing or error messages are held back."""
     text = (
@@ -644,7 +749,7 @@ def _errors_sql() -> str:
         _known("Completeness", "id", "SQL Error", "Failed", ids[6][1]),
         _known("Uniqueness", "ID", "SQL Error", "Failed", ids[6][2]),
         _completeness_sql("events", "payload_id", "nullif(event_type, 'view')", ids[7][1]),
-        _known("Uniqueness", "payload_id", "SQL Error", "Failed", ids[7][2]),
+        _uniqueness_sql("events", "payload_id", "CASE WHEN event_type <> 'view' THEN event_id END", ids[7][2]),
     ])
 
 
@@ -799,6 +904,27 @@ def _text(value: str | None) -> str:
     return "NULL::VARCHAR" if value is None else f"'{value}'"
 
 
+def _append_twice_sql() -> str:
+    excluded = _suggest_sql("n.t NOT IN ('lineitem', 'events')")
+    return f"""
+    WITH once AS ({_append_sql()})
+    SELECT * FROM once
+    UNION ALL SELECT pos + 1 + (SELECT max(pos) FROM once), "table", freshness_col, completeness_col, NULL FROM ({excluded})"""
+
+
+def _sketched_sql() -> str:
+    """The first column without nulls and duplicates, else the first column of each table; all their names suggest keys."""
+    parts = []
+    for pos, (table, columns) in enumerate(_TEXT_KEYS.items()):
+        names = [c.rpartition(" AS ")[2] for c in columns]
+        keys = " ".join(f"WHEN count({n}) = count(*) AND count(DISTINCT {n}) = count(*) THEN '{n}'" for n in names)
+        parts.append(
+            f"SELECT {pos}::BIGINT AS pos, 'lake.{table}' AS \"table\", NULL::VARCHAR AS freshness_col, "
+            f"CASE {keys} ELSE '{names[0]}' END AS completeness_col FROM (SELECT {', '.join(columns)} FROM {table})"
+        )
+    return _union_sql(parts)
+
+
 _TURNS_SQL = """
     SELECT 'chat' AS schema, 'conv_' || conv_id AS "table", 'turn_' || turn AS "column", turn + 1 AS ordinal,
            role AS data_type, text AS description FROM conversations"""
@@ -933,7 +1059,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         freshness_events, freshness_old, freshness_future, freshness_date, freshness_zoned, freshness_string,
         freshness_empty, freshness_gate, name_rules, quality_report, quality_errors, report_summary, report_top10,
         quality_log_roundtrip, log_metadata, candidate_evidence, suggest_checks, suggest_excluding, suggest_given,
-        suggest_nested, checks_append,
+        suggest_nested, suggest_sketched, catalog_batches, checks_append, checks_append_twice, uniqueness_nested, freshness_iso,
+        log_repeated_run, doc_fragments, doc_replace_sources,
         clean_description, doc_coverage, doc_worklist, doc_merge, doc_flatten, doc_items, doc_refresh, push_changes,
         doc_items_documents, doc_worklist_overwrite, doc_nested, doc_repeated_coverage, doc_repeated_refresh, doc_written,
         push_errors,
@@ -943,6 +1070,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     iso = "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f')"
+    latest = "(SELECT date_trunc('second', max(ts)) FROM events)"
     order_columns = "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority".split()
     library = {
         "completeness_orders": _union_sql([_completeness_sql("orders", c) for c in order_columns]),
@@ -1007,9 +1135,29 @@ def oracle_sql() -> dict[str, str]:
         "log_metadata": _metadata_sql(),
         "suggest_given": _GIVEN_SQL,
         "suggest_nested": """
-            SELECT * FROM (VALUES (0::BIGINT, 'lake.bare', NULL, NULL), (1, 'lake.nested', NULL, 'attributes.id'),
-                                  (2, 'lake.orders', 'times.created', 'pk')) x(pos, "table", freshness_col, completeness_col)
-            WHERE (SELECT count(o_orderkey) = count(DISTINCT o_orderkey) FROM orders)""",
+            SELECT 0::BIGINT AS pos, 'lake.bare' AS "table", NULL::VARCHAR AS freshness_col, NULL::VARCHAR AS completeness_col
+            UNION ALL SELECT 1, 'lake.nested', NULL, 'attributes.id'
+            UNION ALL SELECT 2, 'lake.orders', 'times.created', CASE
+                WHEN count(DISTINCT o_custkey) = count(*) THEN 'o_custkey'
+                WHEN count(DISTINCT nullif(o_orderkey, 1)) = count(*) THEN 'half_key'
+                WHEN count(DISTINCT o_orderkey) = count(*) THEN 'pk' ELSE 'o_custkey' END FROM orders""",
+        "suggest_sketched": _sketched_sql(),
+        "catalog_batches": f"""
+            SELECT DISTINCT 'lake' AS schema, c.table_name AS "table", p.i::BIGINT AS table_pos,
+                   c.ordinal_position::BIGINT AS ordinal, c.column_name AS "column"
+            FROM information_schema.columns c JOIN (VALUES {_POSITIONS}) AS p(t, i) ON c.table_name = p.t""",
+        "checks_append_twice": _append_twice_sql(),
+        "uniqueness_nested": _union_sql([_uniqueness_sql(t, c, e) for t, c, _, e in _NESTED_KEYS]),
+        "freshness_iso": _union_sql([
+            _freshness_sql("events", "created_at", expression="strftime(ts, '%G-W%V-%uT%H:%M:%S')", time=latest),
+            _freshness_sql("events", "ingested", expression="strftime(ts, '%GW%V%u %H%M%S')", time=latest),
+            _freshness_sql("events", "updated_at", expression="strftime(ts, '%Y%m%dT%H%M%S') || '+010203'", time=f"{latest} - INTERVAL 3723 SECOND"),
+        ]),
+        "log_repeated_run": f"SELECT *, 2::BIGINT AS copies, '2024-01-31' AS first_run FROM ({_quality_sql()})",
+        "doc_fragments": f"""
+            {_DOCUMENTS_SQL}
+            UNION ALL SELECT DISTINCT source, lang, NULL, 0::BIGINT, 'Texts from ' || source, NULL FROM documents""",
+        "doc_replace_sources": _MERGE_SQL,
         "doc_items_documents": """
             SELECT count(DISTINCT (source, lang)) AS tables, count(*) AS columns, count(DISTINCT (source, lang)) + count(*) AS items
             FROM documents""",
