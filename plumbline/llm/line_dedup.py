@@ -139,7 +139,8 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     more one within one edit (a character replaced, inserted or deleted), stands earlier in the table: in a document of
     smaller ``doc_id`` (nulls last, those by a hash of their text), or further up in the same one. Lines are judged on the
     input, not on what is left. Blank lines stay and don't count. Rows equal in id and text are at one place: they lose the
-    same lines. A null text stays null, an empty one empty. Columns called ``n_lines`` or ``n_removed`` are replaced.
+    same lines. A null text stays null, an empty one empty. Columns called ``n_lines`` or ``n_removed`` are replaced; all others stay,
+    whatever their names, and ``text`` is found by the session's case rule.
     """
     bounded_batches(docs.sparkSession)
     kept_columns = without(docs, ADDED).columns
@@ -167,11 +168,13 @@ def dedup_lines(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
             rows.append(("\n".join(out), n, n - len(stay)))
         return pd.DataFrame(rows, columns=["text", "n_lines", "n_removed"])
 
-    whole = docs.select("*", F.xxhash64(F.col(f"`{doc_id}`").cast("string"), text_or_empty(f"`{text}`")).alias("__key"))
-    joined = whole.join(kept, whole["__key"] == kept["row_key"], "left")
+    # The row's own columns stand in a struct, away from the names used here.
+    body = F.col(f"`{text}`")
+    key = F.xxhash64(F.col(f"`{doc_id}`").cast("string"), text_or_empty(body)).alias("row_key")
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept_columns]).alias("row"), body.alias("body"), key)
     # Not to be worked out a second time where a caller filters by its numbers.
     once = filtered.asNondeterministic()
-    found = joined.select(F.struct(*[whole[f"`{c}`"] for c in kept_columns]).alias("row"), once(whole[f"`{text}`"], "kept").alias("f"))
-    return found.select(
-        *[F.col("f.text" if c == text else f"row.`{c}`").alias(c) for c in kept_columns], "f.n_lines", "f.n_removed"
-    )
+    found = whole.join(kept, "row_key", "left").select("row", once("body", "kept").alias("f"))
+    case_sensitive = docs.sparkSession.conf.get("spark.sql.caseSensitive") == "true"
+    replaced = [c for c in kept_columns if c == text or (not case_sensitive and c.lower() == text.lower())]
+    return found.select(*[F.col("f.text" if c in replaced else f"row.`{c}`").alias(c) for c in kept_columns], "f.n_lines", "f.n_removed")
