@@ -204,5 +204,5 @@ def identify_languages(docs: DataFrame, profiles: Profiles, text: str = "text")
     """
     bounded_batches(docs.sparkSession)
     kept = without(docs, ADDED)
-    found = kept.select("*", identify(F.col(f"`{text}`"), profiles).alias("__found"))
-    return found.select(*[F.col(f"`{c}`") for c in kept.columns], "__found.lang_pred", "__found.score")
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in kept.columns]).alias("row"), identify(F.col(f"`{text}`"), profiles).alias("found"))
+    return found.select(*[F.col(f"row.`{c}`").alias(c) for c in kept.columns], "found.lang_pred", "found.score")
