@@ -57,7 +57,8 @@ def pack_documents(
     ``length`` names a column with the documents' lengths; null, 0 and less count as 0. A document longer than the
     largest capacity is cut into pieces of that capacity and a rest. A document of length 0 has one piece of length 0
     without a bin. Rows with equal keys are packed each; of equal lengths the row read first is placed first. Other
-    columns of ``docs`` are not carried. An empty table gives no rows.
+    columns of ``docs`` are not carried. A key with the name of an added column comes back as ``key_`` and that name. An empty
+    table gives no rows.
     """
     sizes = sorted(set(capacities))
     if not sizes or sizes[0] < 1:
@@ -102,8 +103,9 @@ def pack_documents(
         names = [f.name for f in fields]
         return pa.Table.from_arrays([*taken.columns, *added], names).combine_chunks().to_batches()[0]
 
-    narrow = docs.select(
-        *[F.col(f"`{k}`") for k in keys], F.coalesce(F.col(f"`{length}`").cast("long"), F.lit(0)).alias("__length")
-    )
-    fields = narrow.drop("__length").schema.fields + StructType.fromDDL(ADDED).fields
-    return narrow.mapInArrow(packed, StructType(fields))
+    added_fields = StructType.fromDDL(ADDED).fields
+    taken_names = {f.name for f in added_fields}
+    narrow = docs.select(*[F.col(f"`{k}`").alias(f"key_{k}" if k.lower() in taken_names else k) for k in keys])
+    fields = narrow.schema.fields + added_fields
+    measured = docs.select(*[F.col(f"`{k}`") for k in keys], F.coalesce(F.col(f"`{length}`").cast("long"), F.lit(0)))
+    return measured.toDF(*[f"c{i}" for i in range(len(keys) + 1)]).mapInArrow(packed, StructType(fields))
