@@ -39,14 +39,18 @@ NEVER_TEXT = frozenset(
 APART = frozenset("aside footer nav search".split())
 ROLES_APART = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 WORDS_APART = frozenset(
-    "ad ads adsense adslot advert advertisement advertisements advertising adverts banner breadcrumb breadcrumbs colophon "
-    "comment commentlist comments consent cookie cookies crumbs discussion disqus footer gdpr login masthead menu menus modal "
-    "nav navbar navigation navigations newsletter notice notices outbrain pager paginator pagination paywall popup promo "
-    "promos promotion related replies respond search share sharing shares sidebar sidebars signup skip social sponsor "
-    "sponsored sponsors subscribe subscription taboola tagcloud toolbar topbar widget widgets".split()
+    "ad adbanner adbox ads adsense adslot advert advertisement advertisements advertising adverts alert alerts announcement banner "
+    "breadcrumb breadcrumbs colophon comment commentlist comments consent cookie cookies copyright crumbs dfp discussion disqus drawer "
+    "feedback footer gdpr interstitial lightbox login masthead menu menus modal nav navbar navigation navigations newsletter notice "
+    "notices offcanvas outbrain overlay pager paginator pagination paywall popular popup promo promos promotion recommendations "
+    "recommended related replies reply respond search share sharebar sharing shares sidebar sidebars signup skip social sponsor "
+    "sponsored sponsors subscribe subscription taboola tagcloud toolbar topbar trending usercomments widget widgets".split()
 )
+WORDS_OF_ADVERTS = frozenset("ad ads advert advertisement sponsored".split())
+WORDS_OF_OTHER_ARTICLES = frozenset("ad advert advertisement comment promo related reply sponsored".split())
 WORDS_OF_HEADLINES = frozenset("article content entry page post story".split())
-WORDS_ABOUT_LAYOUT = frozenset("has no with without".split())
+#: Class names that tell about the page's layout or its subject, not what the element is.
+_ABOUT = re.compile(r"(?:has|no|with|without|tag|tags|category|cat|topic)[-_]", re.I)
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: Elements that may be the content region.
 CONTAINERS = frozenset("article body center dd div form header html li main section table tbody td tr".split())
@@ -101,6 +105,11 @@ class Element:
         return self.left_out or self.in_doubt
 
 
+def words_of(name: str) -> list[str]:
+    """The words of a class or id, by its marks and, after these, by its capitals too."""
+    return [w.lower() for w in [*_TOKEN.findall(name), *_WORD.findall(name)]]
+
+
 def is_apart(tag: str, attrs: Sequence[tuple[str, str | None]], in_article: bool) -> bool:
     """Whether an element is no part of an article by its tag, role, class or id."""
     if tag in NEVER_TEXT or tag in APART or tag == "form" or (tag == "header" and not in_article):
@@ -112,9 +121,13 @@ def is_apart(tag: str, attrs: Sequence[tuple[str, str | None]], in_article: bool
         return False
     if given.get("role", "").strip().lower() in ROLES_APART:
         return True
-    named = f"{given.get('class', '')} {given.get('id', '')}"
-    words = {w.lower() for w in [*_WORD.findall(named), *_TOKEN.findall(named)]}
-    if words & WORDS_ABOUT_LAYOUT or {"content", "wrap"} <= words:
+    names = [n for n in [*given.get("class", "").split(), given.get("id", "")] if n and not _ABOUT.match(n)]
+    if tag == "article":  # its classes mostly tell what it is about
+        return any(words_of(n)[:1] and words_of(n)[0] in WORDS_OF_OTHER_ARTICLES for n in names)
+    words = {w for n in names for w in words_of(n)}
+    if tag not in BLOCKS:
+        return not words.isdisjoint(WORDS_OF_ADVERTS)
+    if {"content", "wrap"} <= words:
         return False
     if "header" in words and not in_article and not words & WORDS_OF_HEADLINES:
         return True

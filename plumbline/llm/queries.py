@@ -220,3 +220,43 @@ weights AS (
 )
 SELECT item_id, n::INTEGER AS rank, doc_id, score FROM ranked WHERE n <= {BEST}
 """
+
+# CRC32 by its table of 256 entries, worked out here from its polynomial.
+SQL["op3_byte_range_shards"] = f"""
+WITH crc AS (
+  SELECT list_transform(range(0, 256), lambda n: list_reduce(range(0, 8),
+    lambda a, k: CASE WHEN a & 1 = 1 THEN xor(3988292384, a >> 1) ELSE a >> 1 END, n)) AS t
+), bytes AS (
+  SELECT doc_id, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+    lambda h: ((strpos('123456789ABCDEF', h[1])) * 16 + strpos('123456789ABCDEF', h[2]))::BIGINT) AS b FROM documents
+), sized AS (
+  SELECT doc_id, len(b) + 1 AS size, xor(4294967295, list_reduce(b,
+    lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1]), 4294967295)) AS text_crc32 FROM bytes, crc
+), placed AS (
+  SELECT *, least((sum(size) OVER (ORDER BY doc_id, text_crc32, size ROWS UNBOUNDED PRECEDING) - size) * {SHARDS} // sum(size) OVER (), {SHARDS - 1})::INTEGER AS shard
+  FROM sized
+)
+SELECT doc_id, size::BIGINT AS size, text_crc32::BIGINT AS text_crc32, 'bytes' AS law, shard,
+       row_number() OVER (PARTITION BY shard ORDER BY doc_id, text_crc32, size) - 1 AS slot, NULL::INTEGER AS grown_shard FROM placed
+"""
+
+# Every string of the length, in hexadecimal digits; covered bytes are cut out run by run.
+SQL["op8_suffix_dedup"] = f"""
+WITH texts AS (SELECT row_number() OVER () AS no, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+strings AS (
+  SELECT no, p, hash(substr(x, 2 * p + 1, {2 * suffix_dedup.MIN_BYTES})) AS h
+  FROM (SELECT no, x, unnest(range(0, len(x) // 2 - {suffix_dedup.MIN_BYTES - 1})) AS p FROM texts WHERE len(x) >= {2 * suffix_dedup.MIN_BYTES})
+), repeated AS (SELECT no, p FROM strings QUALIFY count(*) OVER (PARTITION BY h) > 1),
+edges AS (SELECT no, p, coalesce(p - lag(p) OVER (PARTITION BY no ORDER BY p) > {suffix_dedup.MIN_BYTES}, true) AS opens FROM repeated),
+numbered AS (SELECT no, p, sum(opens::INTEGER) OVER (PARTITION BY no ORDER BY p) AS run FROM edges),
+runs AS (SELECT no, run, min(p) AS s, max(p) + {suffix_dedup.MIN_BYTES} AS e FROM numbered GROUP BY no, run),
+gaps AS (SELECT no, run, s, e, coalesce(lag(e) OVER (PARTITION BY no ORDER BY run), 0) AS z FROM runs),
+cut AS (
+  SELECT no, sum(e - s) AS n_removed, count(*) AS n_spans, max(e) AS through,
+         string_agg(substr(x, 2 * z + 1, 2 * (s - z)), '' ORDER BY run) AS kept
+  FROM gaps JOIN texts USING (no) GROUP BY no
+)
+SELECT doc_id, (len(x) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(coalesce(kept || substr(x, 2 * through + 1), x))) AS kept_sha256
+FROM texts LEFT JOIN cut USING (no)
+"""

@@ -44,6 +44,17 @@ def test_parts_inside_an_article():
     assert main_text(f"<body><article><header><h1>A headline</h1></header>{BODY[19:]}</article>").split("\n\n") == EXPECTED
 
 
+@pytest.mark.parametrize(
+    "opening",
+    ['<article class="post-7 post type-post category-social tag-ads comments-open">', '<div class="entry has-sidebar no-comments"><div>', '<div class="content-sidebar-wrap"><div class="post-header">', '<section class="article-body">'],
+)
+def test_names_that_tell_something_else(opening):
+    page = f"<body class='search cookie'><div class=layout>{opening}{BODY}</div></div></article></section><div class='alert'>{LONG}</div>"
+    assert main_text(page).split("\n\n") == EXPECTED
+    code = "<article><pre>x = 1 <span class='hljs-comment'># one</span></pre><p>a <em class=notice>b</em> <span class=ads>c</span></article>"
+    assert main_text(code) == "x = 1 # one\n\na b"
+
+
 def test_menus_without_names():
     menu = "<div>" + "".join(f"<a href=/{i}>Entry {i}</a> " for i in range(12)) + "</div>"
     page = f"<html><body>{menu}<div><div>{BODY}</div></div>{menu}<div>Made by someone</div></body></html>"

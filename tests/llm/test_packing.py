@@ -3,7 +3,8 @@
 import random
 from collections import defaultdict
 
-from plumbline.llm.packing import pack, pack_documents
+from plumbline.llm.packing import CAPACITIES, SEQUENCE_PRICE, pack, pack_documents
+from plumbline.llm.queries import op7_best_fit_packing
 
 
 def plain(lengths, capacities, price):
@@ -67,3 +68,17 @@ def test_documents(spark):
 
 def test_empty_table(spark):
     assert pack_documents(spark.createDataFrame([], "doc_id long, n long"), "n").count() == 0
+
+
+def test_query_equals_a_plain_best_fit(spark):
+    """One file is one block, so all pieces of the table are packed together."""
+    sf_dir = "/root/testdata/sf0.001"
+    sizes = [(r.doc_id, len((r.text or "").split())) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+    top = max(CAPACITIES)
+    pieces = [(i, k, min(top, n - at)) for i, n in sizes for k, at in enumerate(range(0, n, top))]
+    places, capacity = plain([n for _, _, n in pieces], CAPACITIES, SEQUENCE_PRICE)
+    expected = {(i, k): (n, capacity[b], offset, b) for (i, k, n), (b, offset) in zip(pieces, places, strict=True)}
+    got = {(r.doc_id, r.piece): r for r in op7_best_fit_packing(spark, sf_dir).collect()}
+    assert {k: (r.piece_length, r.bin_capacity, r.bin_offset) for k, r in got.items() if r.bin_id} == {k: v[:3] for k, v in expected.items()}
+    assert len({(got[k].bin_id, v[3]) for k, v in expected.items()}) == len(capacity) == len({r.bin_id for r in got.values() if r.bin_id})
+    assert sorted(i for (i, _), r in got.items() if not r.bin_id) == sorted(i for i, n in sizes if not n)
