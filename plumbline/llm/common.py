@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +15,39 @@ SPACES = r"[\x20\x09-\x0D]+"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new folder that driver and executors share: below the session's checkpoint folder, else below its warehouse."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    """A new folder that driver and executors share: below the session's checkpoint folder, else below its warehouse.
+
+    A warehouse on a host's own disk is shared by nobody, so off a local master that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir")
+        one_host = re.match(r"local(\[|$)", spark.sparkContext.master)
+        if not one_host and re.match(r"file:|/", base):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return f"{base.rstrip('/')}/plumbline-llm-{uuid.uuid4()}"
 
 
+_written: list[list[str]] = []
+
+
+@contextmanager
+def dropping_stored(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end what operators have stored within it; read their results before that."""
+    _written.append([])
+    try:
+        yield
+    finally:
+        for folder in _written.pop():
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written to a shared folder and read from there, which cuts the lineage and fixes what was drawn at random."""
     path = shared_folder(df.sparkSession)
+    if _written:
+        _written[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -40,16 +67,6 @@ def text_key(text: Column) -> list[Column]:
     return [F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text).alias("k2")]
 
 
-def distinct_texts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """One row per different text with its key and number of rows; copies are collapsed before the shuffle."""
-    body = docs.select(text_or_empty(text).alias("text"))
-    return (
-        body.select(*text_key(F.col("text")), "text")
-        .groupBy("k1", "k2")
-        .agg(F.first("text").alias("text"), F.count("*").alias("copies"))
-    )
-
-
 #: Most bytes of texts that a Python worker is handed at once.
 BATCH_BYTES = 8 << 20
 

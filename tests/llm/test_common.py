@@ -1,0 +1,40 @@
+"""What operators store, and where."""
+
+import os
+
+import pytest
+
+from plumbline.llm.common import dropping_stored, shared_folder, stored
+from plumbline.llm.near_dedup import near_duplicates
+
+
+class Session:
+    """As much of a session as names a folder."""
+
+    def __init__(self, master, conf):
+        self.conf, self.sparkContext, self.master = conf, self, master
+
+
+@pytest.mark.parametrize("master, warehouse, fine", [("local[8]", "file:/w", True), ("local", "/w", True), ("yarn", "file:/w", False), ("local-cluster[3,2,1024]", "/w", False), ("yarn", "hdfs://a/w", True)])
+def test_shared_folder(master, warehouse, fine):
+    if fine:
+        assert shared_folder(Session(master, {"spark.sql.warehouse.dir": warehouse})).startswith(f"{warehouse}/plumbline-llm-")
+    else:
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(Session(master, {"spark.sql.warehouse.dir": warehouse}))
+    assert shared_folder(Session(master, {"spark.sql.warehouse.dir": warehouse, "spark.checkpoint.dir": "file:/c/"})).startswith("file:/c/plumbline-llm-")
+
+
+def test_stored_folders_are_dropped(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    docs = spark.createDataFrame([(i, f"a b c {i // 2}") for i in range(10)], "doc_id long, text string")
+    before = set(os.listdir(base))
+    with dropping_stored(spark):
+        kept = stored(docs)
+        with dropping_stored(spark):
+            assert near_duplicates(kept).where("kept").count() == 5
+            assert len(set(os.listdir(base)) - before) > 1
+        assert kept.count() == 10
+    assert set(os.listdir(base)) == before
+    stored(docs)
+    assert len(set(os.listdir(base)) - before) == 1
