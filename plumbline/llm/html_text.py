@@ -66,6 +66,8 @@ _TOKEN = re.compile(r"[A-Za-z0-9]+")
 _CUT_OFF = re.compile(r"<[a-zA-Z/!?]")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
+#: Open elements beyond which nesting is no longer followed, as browsers do it.
+DEEPEST = 512
 SIGMA = 1.0
 RADIUS = 3
 #: Clusters are two if the ratio of one is four times that of the other.
@@ -145,6 +147,7 @@ class PageLines(HTMLParser):
         self.wholes: list[int] = []
         self.containers = 0
         self.open = [Element("", ())]
+        self.beyond = 0  # open elements that are nested too deep to be followed
         self.parts: list[str] = []
         self.linked = self.tags = 0
         self.in_link = False
@@ -186,6 +189,9 @@ class PageLines(HTMLParser):
             self.parts.append(" ")
         if tag in VOID:
             return
+        if len(self.open) > DEEPEST:
+            self.beyond += 1
+            return
         above = self.open[-1]
         in_doubt = above.in_doubt and tag not in ("article", "main")
         apart = not (above.left_out or in_doubt) and is_apart(tag, attrs, above.in_article)
@@ -228,7 +234,7 @@ class PageLines(HTMLParser):
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
-        if tag in NEVER_TEXT:
+        if tag in NEVER_TEXT and not self.beyond:
             self.close_element(tag)
 
     def handle_endtag(self, tag: str) -> None:
@@ -237,7 +243,10 @@ class PageLines(HTMLParser):
             self.flush()
         if tag in BLOCKS or tag == "a":
             self.in_link = False
-        self.close_element(tag)
+        if self.beyond:
+            self.beyond -= 1
+        else:
+            self.close_element(tag)
 
     def handle_data(self, data: str) -> None:
         if not self.open[-1].silent:

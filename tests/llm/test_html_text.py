@@ -86,6 +86,8 @@ def test_long_pages():
     assert main_text("x" * 10_000_000) == "x" * 10_000_000
     assert len(main_text("<article>" + "<p>a b" * 50_000).split("\n\n")) == 50_000
     assert main_text("<article>x " + "<a <" * 20_000) is not None
+    assert main_text("<div>" * 100_000 + "deep" + "</div>" * 100_000 + "<p>" + "</b>" * 100_000 + "after") == "deep\n\nafter"
+    assert main_text("<article>" + "<ul><li>" * 5_000 + "x" + "</em>" * 50_000) == "x"
 
 
 def test_smoothing_and_clusters():
