@@ -184,7 +184,8 @@ class PageLines(HTMLParser):
             self.in_link = True
         if tag in BLOCKS or tag == "main":
             self.flush()
-            self.close_implied(tag)
+            if not self.beyond:
+                self.close_implied(tag)
         elif tag == "br":
             self.parts.append(" ")
         if tag in VOID:
