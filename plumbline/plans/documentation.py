@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.functions.text import clean_description
 from plumbline.operators.coverage import catalog_objects, with_descriptions
-from plumbline.operators.merge import merge_descriptions
+from plumbline.operators.merge import join_tables, merge_descriptions
 from plumbline.sources.descriptions import entry_pos
 
 DESCRIPTION_COLUMNS = ["schema", "table", "column", "ordinal", "description", "data_type", "entry_pos"]
@@ -33,12 +33,13 @@ def refresh_documentation(
     cleaned answer when it has no description yet, or always with ``overwrite``; columns that a table no longer has vanish
     with its old entry. Of several stored descriptions of an object the last counts.
     """
-    objects = with_descriptions(catalog_objects(catalog), stored, "existing")
+    objects = join_tables(catalog_objects(catalog), _places(catalog, stored), "inner")
+    objects = with_descriptions(objects, stored, "existing")
     objects = with_descriptions(objects, answers, "answer")
     kept = F.when(F.col("existing") != "", F.col("existing"))
     answer = F.when(F.col("answer").isNotNull(), clean_description(F.col("answer")))
     order = (answer, F.col("existing")) if overwrite else (kept, answer, F.col("existing"))
-    described = objects.withColumn("description", F.coalesce(*order)).join(_places(catalog, stored), _TABLE)
+    described = objects.withColumn("description", F.coalesce(*order))
     return merge_descriptions(
         stored.select(*DESCRIPTION_COLUMNS), described.select(*DESCRIPTION_COLUMNS), replaced=catalog
     )

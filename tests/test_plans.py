@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from plumbline.functions.ages import Clock
 from plumbline.operators.checks import completeness, uniqueness
 from plumbline.operators.coverage import catalog_objects, coverage, undocumented
-from plumbline.operators.merge import merge_descriptions
+from plumbline.operators.merge import join_tables, merge_descriptions
 from plumbline.operators.report import top_findings
 from plumbline.plans.documentation import refresh_documentation
 from plumbline.plans.quality import run_checks
@@ -137,6 +137,62 @@ def test_merging_starts_no_job_and_gives_no_hint(spark):
     assert "LeftAnti" in plan(merged) and "hashpartitioning(column" not in plan(merged)
 
 
+@pytest.fixture
+def parts_as_dealt(spark, no_broadcast):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def _wide(spark, n, schema="s", table="wide"):
+    nothing = F.substring(F.col("id").cast("string"), 1, 0)  # so that the planner doesn't know the names
+    return spark.range(0, n, 1, 4).select(
+        F.concat(F.lit(schema), nothing).alias("schema"), F.concat(F.lit(table), nothing).alias("table"), F.col("id").cast("string").alias("column"), F.col("id").alias("ordinal"),
+        F.lit("text").alias("description"), F.lit("int").alias("data_type"), F.lit(0).alias("table_pos"), entry_pos(F.lit(0), F.lit(0)),
+    )
+
+
+def _most_in_a_task(df):
+    return max(r["count"] for r in df.groupBy(F.spark_partition_id()).count().collect())
+
+
+def test_no_task_merges_a_large_table_alone(spark, parts_as_dealt):
+    rows, other = _wide(spark, 60000), _wide(spark, 2, table="other")
+    merged = merge_descriptions(rows, other)
+    assert merged.count() == 60002 and _most_in_a_task(merged) < 40000
+    same = rows.select(*[F.lit(1).cast(t).alias(c) if c == "ordinal" else F.lit("x").alias(c) if c == "column" else c for c, t in rows.dtypes])
+    merged = merge_descriptions(same, other)  # rows that are equal in all
+    assert merged.count() == 60002 and _most_in_a_task(merged) < 40000
+    unnamed = rows.withColumn("table", F.lit(None).cast("string"))
+    merged = merge_descriptions(unnamed, other)
+    assert merged.count() == 60002 and _most_in_a_task(merged) < 40000
+    by_schema = _wide(spark, 60000).withColumn("schema", F.col("column"))  # many small tables of one name
+    merged = merge_descriptions(by_schema, _wide(spark, 2, schema="t"))
+    assert merged.count() == 60002 and _most_in_a_task(merged) < 40000
+
+
+def test_no_task_places_a_large_table_alone(spark, parts_as_dealt):
+    wide, places = _wide(spark, 60000), _wide(spark, 1).select("schema", "table", F.lit(7).alias("place"))
+    placed = join_tables(wide, places, "inner")
+    assert placed.count() == 60000 and _most_in_a_task(placed) < 40000
+    assert placed.columns == [*wide.columns, "place"] and placed.where("place = 7").count() == 60000
+    assert refresh_documentation(wide, wide.limit(10), wide.limit(0)).count() == 60001
+
+
+@pytest.mark.parametrize("how", ["inner", "left_anti"])
+def test_dealt_tables_join_as_others(spark, how):
+    rows = spark.createDataFrame(
+        [(s, t, i % 3, {"a": i}) for i, (s, t) in enumerate([("s", "a")] * 9 + [("t", "a")] * 2 + [("s", "b")] * 7 + [(None, "a"), ("s", None), (None, None)] * 2)],
+        "schema string, table string, spot int, more map<string, int>",
+    )
+    tables = spark.createDataFrame([("s", "a", 1), ("s", "c", 2), ("t", "a", 3), (None, "a", 4), ("s", None, 5)], "schema string, table string, place int")
+    expected = rows.join(tables, ["schema", "table"], how)
+    for large_rows, large_tables in ((1, 10), (2, 1), (100, 10)):
+        found = join_tables(rows, tables, how, large_rows, large_tables)
+        assert found.columns == expected.columns
+        assert sorted(map(str, found.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_coverage_moves_no_text(spark, no_broadcast):
     rows = spark.range(50).select(
         F.lit("s").alias("schema"), F.lit("t").alias("table"), F.col("id").cast("string").alias("column"),
