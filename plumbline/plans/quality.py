@@ -115,6 +115,6 @@ def run_and_log(
     run = QualityRun(spark, config, tables, as_of, concurrent_tables)
     if not run.findings and not run.by_table:
         return None
-    run_id = run_id or new_run_id()
-    append_log(stamp_results(run.isolated_results(), run_id, Clock(datetime.now(timezone.utc))), path, table, run_id)
+    fresh, run_id = not run_id, run_id or new_run_id()
+    append_log(stamp_results(run.isolated_results(), run_id, Clock(datetime.now(timezone.utc))), path, table, run_id, fresh)
     return run_id

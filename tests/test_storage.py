@@ -196,6 +196,18 @@ def test_table_log_repeated_under_its_id(spark, checked):
     assert counts == [2, 2, 2]
 
 
+def test_run_repeated_in_a_log_of_plain_files(spark, tmp_path, checked):
+    path, (config, tables) = str(tmp_path / "a log"), checked
+    first = run_and_log(spark, config, tables, path=path)
+    for run in ("2024-01-01", "it's {b}", "2024-01-01"):
+        run_and_log(spark, config, tables, path=path, run_id=run)
+    read_log(spark, path).coalesce(1).write.parquet(str(tmp_path / "one file"))
+    run_and_log(spark, config, tables, path=str(tmp_path / "one file"), run_id="it's {b}")
+    for log in (path, str(tmp_path / "one file")):
+        counts = {r.run_id: r["count"] for r in read_log(spark, log).groupBy("run_id").count().collect()}
+        assert counts == {first: 2, "2024-01-01": 2, "it's {b}": 2}
+
+
 def test_old_logs_are_appended_to(spark, tmp_path, checked):
     path, (config, tables) = str(tmp_path / "log"), checked
     run_and_log(spark, config, tables, path=str(tmp_path / "new"), run_id="old")
