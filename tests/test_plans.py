@@ -146,7 +146,7 @@ def parts_as_dealt(spark, no_broadcast):
 
 def _wide(spark, n, schema="s", table="wide"):
     nothing = F.substring(F.col("id").cast("string"), 1, 0)  # so that the planner doesn't know the names
-    return spark.range(0, n, 1, 4).select(
+    return spark.range(0, n, 1, 40).select(
         F.concat(F.lit(schema), nothing).alias("schema"), F.concat(F.lit(table), nothing).alias("table"), F.col("id").cast("string").alias("column"), F.col("id").alias("ordinal"),
         F.lit("text").alias("description"), F.lit("int").alias("data_type"), F.lit(0).alias("table_pos"), entry_pos(F.lit(0), F.lit(0)),
     )
