@@ -6,6 +6,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import __spark_entry__ as spark_entry
 from plumbline.llm import suffix_dedup
 from plumbline.llm.suffix_dedup import remove_repeats
 from plumbline.llm.suffix_sort import blind_trie_order, deep_shallow_order, neighbours_prefix
@@ -76,6 +77,27 @@ def test_production_length(spark):
         assert (bytes(got[i].kept_bytes), *got[i][3:]) == expected
 
 
+def test_planted_passages_go_from_400_bytes_on(spark, tmp_path):
+    """Passages of over 50 words, by the query: bytes decide, words don't, and ``n_bytes`` is the input's length."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("etaoins") for _ in range(n))
+    texts, lost = [], []
+    for n_bytes in (310, 399, 400, 600):
+        passage = " ".join(word(5) for _ in range(n_bytes // 6 + 1))[:n_bytes]
+        assert len(passage) == n_bytes and len(passage.split()) > 50
+        for i in range(3):  # other bytes on both sides of each copy
+            texts.append(f"{word(rng.randrange(200))}{i}{passage}{i}{word(rng.randrange(200))}")
+            lost.append(n_bytes if n_bytes >= 400 else 0)
+    texts.append(word(900))
+    lost.append(0)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    frame.write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(spark_entry.queries()["op8_suffix_dedup"](spark, str(tmp_path)).collect())
+    assert [(r.n_bytes, r.n_removed, r.n_spans) for r in got] == [
+        (len(t), n, int(n > 0)) for t, n in zip(texts, lost, strict=True)
+    ]
+
+
 def test_empty_table(spark):
     assert remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
