@@ -51,9 +51,22 @@ _DATES = [
     (r"^(\d{4})W(\d\d)(\d)(?:\D(.+)|\d((?:\d\d)*(?!\d).+|(?:\d\d)+))?$", "W$1$2$3|$4$5"),
     (r"^(\d{4})W(\d\d)(?:\D(.+)|\d((?:\d\d)+(?:\D.*)?))?$", "W$1$21|$3$4"),
 ]
+
+
+def _python_reads(text: str) -> datetime | None:
+    try:
+        return datetime.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+# Patch releases of Python 3.13 differ in two points, where the driver's is followed: whether a point before an offset may have no
+# fraction, and whether an offset below a second counts.
+_POINT_ALONE = _python_reads("2000-01-01T00:00:00.+00:00") is not None
+_BELOW_SECOND = _python_reads("2000-01-01T00:00:00+00:00:00.5") not in (None, _python_reads("2000-01-01T00:00:00+00:00"))
 # Before an offset, one more ASCII character or anything after six digits of a fraction is passed over.
 _PASSED_OVER = [
-    (r"^(\d\d(?:(:?)\d\d(?:\2\d\d)?)?)[\x00-\x7F]$", "$1"),
+    (rf"^(\d\d(?:(:?)\d\d(?:\2\d\d)?)?)[\x00-\x7F{'' if _POINT_ALONE else '&&[^.,]'}]$", "$1"),
     (r"^([\d:]+[.,]\d{6}).*$", "$1"),
     (r"^(\d{12}).*$", "$1"),
 ]
@@ -106,7 +119,8 @@ def _offset(zone: Column) -> Column:
     def size(digits: Column) -> Column:
         hours, minutes, seconds, micros = (digits.substr(at, n).cast("long") for at, n in ((1, 2), (3, 2), (5, 2), (7, 6)))
         whole = hours * 3600 + minutes * 60 + seconds
-        return F.when(whole == 0, whole).otherwise(whole * 1_000_000 + micros)
+        exact = whole * 1_000_000 + micros
+        return exact if _BELOW_SECOND else F.when(whole == 0, whole).otherwise(exact)
 
     sign = F.when(zone.startswith("-"), -1).otherwise(1)
     return _let(_digits(zone.substr(2, 1 << 30)), lambda d: _let(size(d), lambda n: F.when(n < 86_400_000_000, n * sign)))
